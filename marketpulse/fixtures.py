@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketpulse.schemas import LEXICON
 from marketpulse.sources.tables import read_table, spread_small
 from marketpulse.sources.topics import encode_json
 
@@ -27,7 +26,9 @@ def now() -> Column:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LEXICON_ROWS, LEXICON)
+    """An inline SQL table: its size is known without a job, and no Python worker has to start to read it."""
+    rows = ", ".join(f"('{term}', {val10})" for term, val10 in LEXICON_ROWS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS lexicon(term, val10)")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

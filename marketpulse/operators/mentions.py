@@ -12,6 +12,15 @@ from marketpulse.functions.times import epoch_to_ts
 POST_KEY = ("subreddit", "id")
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a costly column that later filters read instead of computing it again.
+
+    A filter on a plain computed column is moved below the projection, with a copy of the whole expression. It cannot be
+    moved below an explode, here of one element per row.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def mark_tickers(posts: DataFrame, watchlist: Sequence[str]) -> DataFrame:
     """Adds created_ts, full_text and the array of mentioned tickers; keeps only posts that mention one.
 
@@ -20,12 +29,8 @@ def mark_tickers(posts: DataFrame, watchlist: Sequence[str]) -> DataFrame:
     created = epoch_to_ts("created_utc")
     if "created_ts" in posts.columns:
         created = F.coalesce(created, F.col("created_ts"))
-    return (
-        posts.withColumn("created_ts", created)
-        .withColumn("full_text", full_text("title", "text"))
-        .withColumn("tickers", extract_tickers("full_text", watchlist))
-        .where(F.size("tickers") > 0)
-    )
+    texts = posts.withColumn("created_ts", created).withColumn("full_text", full_text("title", "text"))
+    return compute_once(texts, "tickers", extract_tickers("full_text", watchlist)).where(F.size("tickers") > 0)
 
 
 def explode_mentions(posts: DataFrame, watchlist: Sequence[str], now: Column | None = None) -> DataFrame:

@@ -32,14 +32,15 @@ def score_posts(posts: DataFrame, keys: Sequence[str], lexicon: DataFrame, text:
     the posts that are equal in both keys and text: a post stored twice still counts twice in an average, and a text
     copied a million times arrives as one row per map task.
     """
-    words = posts.select(
-        *keys,
-        F.unhex(F.sha2(text, 256)).alias("_text"),
-        F.posexplode_outer(tokens(text)).alias("_pos", "_token"),
-    ).select(*keys, "_text", "_pos", lexicon_term("_token").alias("term"))
+    # Hashed before the explode: what stands next to it in one select would be computed again for every token.
+    hashed = posts.select(*keys, F.unhex(F.sha2(text, 256)).alias("_text"), tokens(text).alias("_tokens"))
+    pieces = hashed.select(*keys, "_text", F.posexplode_outer("_tokens").alias("_pos", "_token"))
+    words = pieces.select(*keys, "_text", "_pos", lexicon_term("_token").alias("term"))
     first = F.col("_pos").isNull() | (F.col("_pos") == 0)
     return (
         words.join(broadcast_when_small(lexicon.select("term", "val10")), "term", "left")
+        # Of the unknown words, only the first of a post is needed: it stands for the post.
+        .where(first | F.col("val10").isNotNull())
         .groupBy(*keys, "_text")
         .agg(
             F.sum(F.when(first, 1).otherwise(0)).alias("copies"),

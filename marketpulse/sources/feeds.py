@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from marketpulse.functions.texts import extract_cashtags
+from marketpulse.operators.mentions import compute_once
 from marketpulse.schemas import LISTING
 
 
@@ -49,7 +50,8 @@ def normalize_posts(posts: DataFrame, watchlist: Sequence[str]) -> DataFrame:
         if name not in posts.columns:
             posts = posts.withColumn(name, F.lit(None).cast("bigint"))
     events = posts.withColumn("text", F.coalesce("text", F.lit("")))
-    events = events.withColumn("tickers", extract_cashtags("text", watchlist)).where(F.size("tickers") > 0)
+    events = compute_once(events.drop("tickers"), "tickers", extract_cashtags("text", watchlist))
+    events = events.where(F.size("tickers") > 0)
     return events.select(
         F.lit("bluesky").alias("source"), "uri", "cid", "author_did", "author_handle", "text", "created_at", "tickers",
         "like_count", "repost_count", "reply_count",
