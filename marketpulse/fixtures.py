@@ -57,7 +57,7 @@ def price_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_json(price_events(spark, sf_dir))
+    return encode_json(spread_small(price_events(spark, sf_dir)))
 
 
 def social_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

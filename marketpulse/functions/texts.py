@@ -52,7 +52,7 @@ def extract_tickers(text: Column | str, watchlist: Sequence[str]) -> Column:
     if odd:
         raise ValueError(f"symbols must be made of letters, digits and underscores: {odd}")
     words = F.regexp_extract_all(F.upper(F.regexp_replace(_col(text), _WIDENING, "ẞ")), F.lit(WORD), F.lit(0))
-    return F.coalesce(F.array_sort(F.array_intersect(words, _texts(symbols))), _texts([]))
+    return F.coalesce(F.sort_array(F.array_intersect(words, _texts(symbols))), _texts([]))
 
 
 def extract_cashtags(text: Column | str, watchlist: Sequence[str]) -> Column:
@@ -63,7 +63,7 @@ def extract_cashtags(text: Column | str, watchlist: Sequence[str]) -> Column:
         F.regexp_extract_all(text, F.lit(CASHTAG), F.lit(1)),
         F.regexp_extract_all(text, F.lit(WORD), F.lit(0)),
     )
-    return F.coalesce(F.array_sort(F.array_intersect(found, _texts(symbols))), _texts([]))
+    return F.coalesce(F.sort_array(F.array_intersect(found, _texts(symbols))), _texts([]))
 
 
 def tokens(text: Column | str) -> Column:

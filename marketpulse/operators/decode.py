@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marketpulse.functions.times import parse_ingest_ts
+from marketpulse.operators.once import compute_once
 from marketpulse.schemas import POST_EVENT, PRICE_EVENT
 
 
 def decode_json(raw: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """JSON bytes or text to the columns of `schema`. Text that is no JSON gives nulls, unknown fields are ignored."""
-    return raw.select(F.from_json(F.col(value).cast("string"), schema).alias("event")).select("event.*")
+    event = F.from_json(F.col(value).cast("string"), schema)
+    return compute_once(raw.select(value), "_event", event).select("_event.*")
 
 
 def decode_prices(raw: DataFrame, now: Column | None = None) -> DataFrame:

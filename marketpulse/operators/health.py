@@ -89,7 +89,7 @@ def freshness_band(ages: DataFrame, steps=DATASET_AGE_STEPS) -> DataFrame:
 
 def counter_rate(
     samples: DataFrame, labels: Sequence[str], window_seconds: int = 120, ts: str = "ts", value: str = "value",
-    windows_per_chunk: int = 8,
+    windows_per_chunk: int = 4,
 ) -> DataFrame:
     """(labels, ts, value, rate): per-second growth of a counter over the window that ends at each sample.
 
@@ -105,48 +105,48 @@ def counter_rate(
     span = int(window_seconds * 1_000_000)
     chunk = span * windows_per_chunk
     labels = list(labels)
-    tick = F.unix_micros(F.col(ts).cast("timestamp"))
-    into = F.pmod(F.col("_t"), F.lit(chunk))
+    ticks = samples.select(
+        *labels, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"), F.col(value).cast("double").alias("_v")
+    ).dropna(subset=["_t", "_v"])
     own = F.expr(f"(_t - pmod(_t, {chunk}L)) div {chunk}L")
-    placed = (
-        samples.select(*labels, ts, F.col(value).cast("double").alias(value), tick.alias("_t"))
-        .where(F.col("_t").isNotNull() & F.col(value).isNotNull())
-        .withColumn("_own", own)
-        .withColumn("_near_end", into >= chunk - span)
-        .withColumn(
-            "_chunk",
-            F.explode(
-                F.when(F.col("_near_end"), F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))
-            ),
-        )
-    )
+    # A sample in the last window of its chunk goes to the next chunk as well, but is only answered for in its own.
+    places = F.when(
+        F.pmod("_t", F.lit(chunk)) >= chunk - span,
+        F.array(F.struct(own.alias("chunk"), F.lit(True).alias("home")), F.struct((own + 1).alias("chunk"), F.lit(False).alias("home"))),
+    ).otherwise(F.array(F.struct(own.alias("chunk"), F.lit(True).alias("home"))))
+    placed = ticks.select(*labels, "_t", "_v", F.inline(places).alias("_chunk", "_home"))
+
     parts = Window.partitionBy(*labels, "_chunk")
-    forward = parts.orderBy("_t", value)
-    before = F.lag(value).over(forward)
-    gain = F.when(before.isNull(), F.lit(0.0)).when(F.col(value) < before, F.col(value)).otherwise(F.col(value) - before)
-    climbed = (
-        placed.withColumn("_gain", gain)
-        .withColumn("_nth", F.row_number().over(forward))
-        .withColumn("_climb", F.sum("_gain").over(forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    forward = parts.orderBy("_t", "_v")
+    before = F.lag("_v").over(forward)
+    gain = F.when(before.isNull(), 0.0).when(F.col("_v") < before, F.col("_v")).otherwise(F.col("_v") - before)
+    climbed = placed.withColumn("_gain", gain).select(
+        *labels, "_chunk", "_home", "_t", "_v",
+        F.sum("_gain").over(forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_climb"),
     )
+
     # Each sample is seen twice: as a point that windows can start at, and, shifted back by the window, as a question
-    # for the first point from there on. Read from the newest to the oldest, that point is the last one passed.
-    point = F.struct(F.col("_t").alias("at"), F.lit(True).alias("is_point"))
-    question = F.struct((F.col("_t") - span).alias("at"), F.lit(False).alias("is_point"))
-    marked = climbed.withColumn(
-        "_mark",
-        F.explode(F.when(F.col("_chunk") == F.col("_own"), F.array(point, question)).otherwise(F.array(point))),
-    )
-    backward = parts.orderBy(F.desc("_mark.at"), F.desc("_mark.is_point"), F.desc("_nth")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    # for the first point from there on. Read from the newest to the oldest, that point is the last one passed. The two
+    # are told apart by the lowest bit of the sort key, so that a point comes before a question of the same instant.
+    point, question = F.shiftleft("_t", 1) + 1, F.shiftleft(F.col("_t") - span, 1)
+    marked = climbed.select(
+        *labels, "_chunk", "_t", "_v", "_climb",
+        F.explode(F.when(F.col("_home"), F.array(point, question)).otherwise(F.array(point))).alias("_at"),
     )
-    start = F.last(F.when(F.col("_mark.is_point"), F.struct("_t", "_climb")), ignorenulls=True).over(backward)
-    elapsed = (F.col("_t") - F.col("_start._t")) / F.lit(1e6)
-    growth = F.col("_climb") - F.col("_start._climb")
-    return (
-        marked.withColumn("_start", start)
-        .where(~F.col("_mark.is_point"))
-        .select(*labels, ts, value, F.when(elapsed > 0, growth / elapsed).alias("rate"))
+    is_point = F.col("_at").bitwiseAND(1) == 1
+    backward = parts.orderBy(F.desc("_at"), F.desc("_climb")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def at_start(column: str) -> Column:
+        return F.last(F.when(is_point, F.col(column)), ignorenulls=True).over(backward)
+
+    answered = marked.select(
+        *labels, "_t", "_v", "_at",
+        (F.col("_climb") - at_start("_climb")).alias("_growth"),
+        ((F.col("_t") - at_start("_t")) / F.lit(1e6)).alias("_elapsed"),
+    ).where(~is_point)
+    return answered.select(
+        *labels, F.timestamp_micros("_t").alias(ts), F.col("_v").alias(value),
+        F.when(F.col("_elapsed") > 0, F.col("_growth") / F.col("_elapsed")).alias("rate"),
     )
 
 

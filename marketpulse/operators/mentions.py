@@ -8,19 +8,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marketpulse.functions.texts import extract_tickers, full_text
 from marketpulse.functions.times import epoch_to_ts
+from marketpulse.operators.once import compute_once
 
 POST_KEY = ("subreddit", "id")
 
 
-def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Adds a costly column that later filters read instead of computing it again.
-
-    A filter on a plain computed column is moved below the projection, with a copy of the whole expression. It cannot be
-    moved below an explode, here of one element per row.
-    """
-    return df.select("*", F.explode_outer(F.array(value)).alias(name))
-
-
 def mark_tickers(posts: DataFrame, watchlist: Sequence[str]) -> DataFrame:
     """Adds created_ts, full_text and the array of mentioned tickers; keeps only posts that mention one.
 

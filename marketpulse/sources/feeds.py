@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from marketpulse.functions.texts import extract_cashtags
-from marketpulse.operators.mentions import compute_once
+from marketpulse.operators.once import compute_once
 from marketpulse.schemas import LISTING
 
 
@@ -16,10 +16,11 @@ def flatten_listing(
     listings: DataFrame, body: str = "value", forum: str = "subreddit", schema: T.StructType = LISTING
 ) -> DataFrame:
     """Forum listings (one JSON page per row) to post events. Children without an id are skipped, absent texts empty."""
-    children = F.from_json(F.col(body).cast("string"), schema).getField("data").getField("children")
+    pages = compute_once(listings.select(F.col(forum).alias("subreddit"), F.col(body).cast("string").alias("_body")),
+                         "_page", F.from_json("_body", schema))
     post = F.col("child.data")
     return (
-        listings.select(F.col(forum).alias("subreddit"), F.explode(children).alias("child"))
+        pages.select("subreddit", F.explode("_page.data.children").alias("child"))
         .where(post["id"].isNotNull() & (post["id"] != ""))
         .select(
             F.lit("reddit").alias("source"),
