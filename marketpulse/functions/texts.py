@@ -16,7 +16,7 @@ CASHTAG = r"\$([A-Z]{1,5})"
 _PLAIN_SYMBOL = re.compile(r"[A-Z]{1,5}")
 
 # Letters whose capital form is several ASCII letters. They must not turn into a ticker when upper-cased.
-_WIDENING = "[ßﬀ-ﬆ]"
+WIDENING = "[ßﬀ-ﬆ]"
 
 # White space as Unicode defines it, and the separator controls that Python's str.split() adds. Asking for the property
 # is twice as fast as listing the characters.
@@ -41,23 +41,34 @@ def full_text(title: Column | str, text: Column | str) -> Column:
     return F.concat_ws("\n", _col(title), _col(text))
 
 
+def word_symbols(watchlist: Sequence[str]) -> list[str]:
+    """The watch list in capitals. Symbols must be single words, or a whole-word match could not find them."""
+    symbols = sorted({symbol.upper() for symbol in watchlist})
+    odd = [symbol for symbol in symbols if not re.fullmatch(r"\w+", symbol)]
+    if odd:
+        raise ValueError(f"symbols must be made of letters, digits and underscores: {odd}")
+    return symbols
+
+
+def plain_symbols(watchlist: Sequence[str]) -> list[str]:
+    """The symbols that the strict patterns can find: up to five capitals."""
+    return sorted({symbol for symbol in watchlist if _PLAIN_SYMBOL.fullmatch(symbol)})
+
+
 def extract_tickers(text: Column | str, watchlist: Sequence[str]) -> Column:
     """Watch-listed symbols that occur in `text` as whole words in any case: distinct, upper-case, sorted.
 
     One pass over the characters cuts the text into words; a hash intersection with the watch list follows. Cost does
     not grow with the length of the watch list, as an alternation of all symbols would.
     """
-    symbols = sorted({symbol.upper() for symbol in watchlist})
-    odd = [symbol for symbol in symbols if not re.fullmatch(r"\w+", symbol)]
-    if odd:
-        raise ValueError(f"symbols must be made of letters, digits and underscores: {odd}")
-    words = F.regexp_extract_all(F.upper(F.regexp_replace(_col(text), _WIDENING, "ẞ")), F.lit(WORD), F.lit(0))
+    symbols = word_symbols(watchlist)
+    words = F.regexp_extract_all(F.upper(F.regexp_replace(_col(text), WIDENING, "ẞ")), F.lit(WORD), F.lit(0))
     return F.coalesce(F.sort_array(F.array_intersect(words, _texts(symbols))), _texts([]))
 
 
 def extract_cashtags(text: Column | str, watchlist: Sequence[str]) -> Column:
     """The strict variant: `$ABC` or a whole word in capitals, at most five letters, case-sensitive; sorted."""
-    symbols = sorted({symbol for symbol in watchlist if _PLAIN_SYMBOL.fullmatch(symbol)})
+    symbols = plain_symbols(watchlist)
     text = _col(text)
     found = F.concat(
         F.regexp_extract_all(text, F.lit(CASHTAG), F.lit(1)),

@@ -27,5 +27,5 @@ def decode_posts(raw: DataFrame) -> DataFrame:
 
 
 def valid_ticks(ticks: DataFrame) -> DataFrame:
-    """Ticks with a symbol, a price and a time. The tests are on stored columns, so they reach the Parquet scan."""
-    return ticks.dropna(subset=["symbol", "price", "ingest_ts"])
+    """Ticks with a symbol, a price and a time. Three plain null tests, which reach the Parquet scan; dropna() does not."""
+    return ticks.where(F.col("symbol").isNotNull() & F.col("price").isNotNull() & F.col("ingest_ts").isNotNull())

@@ -105,9 +105,9 @@ def counter_rate(
     span = int(window_seconds * 1_000_000)
     chunk = span * windows_per_chunk
     labels = list(labels)
-    ticks = samples.select(
+    ticks = samples.where(F.col(ts).isNotNull() & F.col(value).isNotNull()).select(
         *labels, F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"), F.col(value).cast("double").alias("_v")
-    ).dropna(subset=["_t", "_v"])
+    )
     own = F.expr(f"(_t - pmod(_t, {chunk}L)) div {chunk}L")
     # A sample in the last window of its chunk goes to the next chunk as well, but is only answered for in its own.
     places = F.when(

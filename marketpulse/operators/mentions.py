@@ -32,13 +32,13 @@ def explode_mentions(posts: DataFrame, watchlist: Sequence[str], now: Column | N
 
 
 def first_seen(posts: DataFrame, keys: Sequence[str] = POST_KEY, order: Sequence[str] = ("ingest_ts",)) -> DataFrame:
-    """The earliest copy of each post. Posts with an empty last key (no id) are dropped, as producers skip them.
+    """The earliest copy of each post; of several at one instant always the same one, by a hash of the whole row.
 
-    row_number() = 1 lets Spark prune inside each map task, so however often a post was copied, at most one copy per
-    map task is shuffled.
+    Posts with an empty last key (no id) are dropped, as producers skip them. row_number() = 1 lets Spark prune inside
+    each map task, so however often a post was copied, at most one copy per map task is shuffled.
     """
     ident = F.col(keys[-1])
-    window = Window.partitionBy(*keys).orderBy(*order)
+    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*posts.columns))
     return (
         posts.where(ident.isNotNull() & (ident != ""))
         .withColumn("_nth", F.row_number().over(window))

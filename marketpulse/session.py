@@ -27,11 +27,14 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Files of settled intermediate results go when the last plan that reads them is gone.
+START_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def build_session(app_name: str = "marketpulse", conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the settings above; `conf` wins over them. Shuffle width is left to the cluster and AQE."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**RUNTIME_CONF, **STREAM_CONF, **(conf or {})}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **STREAM_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
