@@ -11,7 +11,9 @@ from marketpulse.operators.sizing import broadcast_when_small, settle
 
 
 def _dated(ticks: DataFrame) -> DataFrame:
-    return valid_ticks(ticks).withColumn("day", day_of("ingest_ts"))
+    # Does nothing to a timestamp; reads a table that stores its times as text.
+    timed = ticks.withColumn("ingest_ts", F.col("ingest_ts").try_cast("timestamp"))
+    return valid_ticks(timed).withColumn("day", day_of("ingest_ts"))
 
 
 def max_ts_daily(ticks: DataFrame) -> DataFrame:

@@ -205,6 +205,29 @@ def test_last_price_ties_and_invalid_ticks(spark):
     assert bag(daily.max_ts_daily(table).select("symbol", "day")) == [("A", d1), ("A", d2), ("B", d1)]
 
 
+def test_times_stored_as_text(spark):
+    table = spark.createDataFrame(
+        [("A", 1.0, "2024-01-01T10:00:00Z"), ("A", 2.0, "2024-01-01 09:00:00"), ("A", 3.0, "junk")],
+        "symbol string, price double, ingest_ts string",
+    )
+    assert rows(daily.last_price_daily(table)) == [("A", D(2024, 1, 1), 1.0)]
+
+
+def test_ties_beyond_the_broadcast_bound(spark, monkeypatch):
+    from marketpulse.operators import sizing
+
+    table = ticks(spark, *[(s, float(i), ts(1 + i % 3, i % 2)) for s in "ABC" for i in range(30)])
+    expected = bag(daily.last_price_ties(table))
+    monkeypatch.setattr(daily, "broadcast_when_small", lambda df: sizing.broadcast_when_small(df, max_rows=2))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = daily.last_price_ties(table)
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+        assert bag(large) == expected and len(expected) == 45
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @relaxed
 @given(st.lists(st.tuples(st.sampled_from("AB"), st.integers(1, 5), st.integers(1, 3), st.integers(0, 2)), min_size=1, max_size=40))
 def test_one_row_per_key_and_contained_in_ties(spark, items):
