@@ -26,6 +26,17 @@ def decode_posts(raw: DataFrame) -> DataFrame:
     return decode_json(raw, POST_EVENT)
 
 
+def decode_social(raw: DataFrame) -> DataFrame:
+    """Messages of forum and microblog producers on one topic, in the layout of forum posts plus created_ts.
+
+    A microblog post is identified by its uri, and created_ts is read from its created_at.
+    """
+    extra = T.StructType([T.StructField("uri", T.StringType()), T.StructField("created_at", T.StringType())])
+    events = decode_json(raw, T.StructType(POST_EVENT.fields + extra.fields))
+    posts = events.withColumn("id", F.coalesce("id", "uri"))
+    return posts.select(*POST_EVENT.fieldNames(), F.try_to_timestamp("created_at").alias("created_ts"))
+
+
 def valid_ticks(ticks: DataFrame) -> DataFrame:
     """Ticks with a symbol, a price and a time. Three plain null tests, which reach the Parquet scan; dropna() does not."""
     return ticks.where(F.col("symbol").isNotNull() & F.col("price").isNotNull() & F.col("ingest_ts").isNotNull())

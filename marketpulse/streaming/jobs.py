@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from marketpulse.functions.times import epoch_to_ts
-from marketpulse.operators.decode import decode_posts, decode_prices
+from marketpulse.operators.decode import decode_prices, decode_social
 from marketpulse.operators.mentions import POST_KEY, explode_mentions
 
 
@@ -17,15 +16,19 @@ def price_stream(raw: DataFrame, now: Column | None = None) -> DataFrame:
     return decode_prices(raw, now)
 
 
-def drop_repeats(posts: DataFrame, keys: Sequence[str] = POST_KEY, delay: str = "1 day") -> DataFrame:
-    """Each post once. Seen keys are kept for `delay` of event time, across restarts; older arrivals are dropped.
+def drop_repeats(
+    posts: DataFrame, keys: Sequence[str] = POST_KEY, delay: str = "7 days", event_time: str | None = None
+) -> DataFrame:
+    """Each post once. Its key is kept for `delay` after it was first seen, across restarts.
 
-    A post without a creation time counts as created now. Posts without an id are dropped, as producers skip them.
+    Time is the time of arrival, so no post is dropped for being old: the first poll of a slow forum brings posts that
+    are weeks old. With `event_time`, a timestamp column of the posts counts instead, and posts that are older than the
+    newest one by more than `delay` are dropped as late. Posts without an id are dropped, as producers skip them.
     """
     ident = F.col(keys[-1])
     return (
         posts.where(ident.isNotNull() & (ident != ""))
-        .withColumn("_seen_at", F.coalesce(epoch_to_ts("created_utc"), F.current_timestamp()))
+        .withColumn("_seen_at", F.current_timestamp() if event_time is None else F.col(event_time))
         .withWatermark("_seen_at", delay)
         .dropDuplicatesWithinWatermark(list(keys))
         .drop("_seen_at")
@@ -35,8 +38,8 @@ def drop_repeats(posts: DataFrame, keys: Sequence[str] = POST_KEY, delay: str =
 def mention_stream(
     raw: DataFrame, watchlist: Sequence[str], now: Column | None = None, dedupe_delay: str | None = None
 ) -> DataFrame:
-    """Raw post messages to ticker mentions; with `dedupe_delay`, repeated posts are dropped first."""
-    posts = decode_posts(raw)
+    """Raw post messages of all producers to ticker mentions; with `dedupe_delay`, repeated posts are dropped first."""
+    posts = decode_social(raw)
     if dedupe_delay:
         posts = drop_repeats(posts, delay=dedupe_delay)
     return explode_mentions(posts, watchlist, now)

@@ -78,17 +78,34 @@ def test_repeats_are_dropped_across_batches_and_restarts(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == list(STREAM_CONF.values())[0]
     day = 86_400.0
     event = lambda ident, created, sub="s": {"subreddit": sub, "id": ident, "created_utc": created, "text": "V"}
+    blog = lambda uri: {"source": "bluesky", "uri": uri, "text": "V", "created_at": "2024-01-02T03:04:05Z", "tickers": ["V"]}
     start = lambda: drain(
         streams.mention_stream(spark.readStream.schema(RAW).parquet(raw), ["V"], fixed_now(), dedupe_delay="1 day"),
         out, checkpoint,
     )
-    write_raw(spark, raw, [event("a", 100 * day), event("a", 100 * day), event("b", 100 * day), event(None, 1.0), event("", 1.0)])
+    write_raw(spark, raw, [event("a", 100 * day), event("a", 100 * day), event("b", 100 * day), event(None, 1.0), event("", 1.0), blog("u")])
     start()
-    write_raw(spark, raw, [event("a", 100 * day), event("a", 100 * day, "other"), event("c", 100.5 * day)])
+    # "old" was written long before the others, and still counts as new.
+    write_raw(spark, raw, [event("a", 100 * day), event("a", 100 * day, "other"), event("old", 1 * day), blog("u"), blog("w")])
     start()
-    assert bag(spark.read.parquet(out).select("subreddit", "id")) == [
-        ("other", "a"), ("s", "a"), ("s", "b"), ("s", "c")
-    ]
+    assert bag(spark.read.parquet(out).select("subreddit", "id", F.col("created_ts").cast("string"))) == sorted([
+        ("other", "a", "1970-04-11 00:00:00"), ("s", "a", "1970-04-11 00:00:00"), ("s", "b", "1970-04-11 00:00:00"),
+        ("s", "old", "1970-01-02 00:00:00"), (None, "u", "2024-01-02 03:04:05"), (None, "w", "2024-01-02 03:04:05"),
+    ], key=repr)
+
+
+def test_repeats_by_event_time_drop_late_posts(spark, tmp_path):
+    raw, out, checkpoint = (str(tmp_path / name) for name in ("raw", "out", "checkpoint"))
+    schema = "id string, at timestamp"
+    write = lambda *rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(raw)
+    start = lambda: drain(
+        streams.drop_repeats(spark.readStream.schema(schema).parquet(raw), ["id"], "1 day", event_time="at"), out, checkpoint
+    )
+    write(("a", dt.datetime(2024, 1, 10)), ("b", dt.datetime(2024, 1, 10)))
+    start()
+    write(("a", dt.datetime(2024, 1, 10)), ("late", dt.datetime(2024, 1, 1)), ("c", dt.datetime(2024, 1, 9, 12)))
+    start()
+    assert bag(spark.read.parquet(out).select("id")) == [("a",), ("b",), ("c",)]
 
 
 def test_topic_options():
