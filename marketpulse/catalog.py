@@ -80,7 +80,7 @@ def flatten_listing(spark, sf):
 def normalize_posts(spark, sf):
     posts = feeds.normalize_posts(fx.microblog(spark, sf), fx.WATCHLIST)
     return posts.select(
-        "source", "uri", "author_handle", _joined_text("tickers"), "like_count", "reply_count", "id",
+        "source", "uri", "author_handle", _joined_text("tickers"), "like_count", "repost_count", "id",
         _plain("created_ts"),
     )
 
