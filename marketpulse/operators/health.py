@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from marketpulse.functions.numbers import ACTIVITY_STEPS, DATASET_AGE_STEPS, band
+from marketpulse.operators.sizing import broadcast_when_small, settle
 from marketpulse.sources.tables import read_table_or_none
 
 
@@ -150,6 +151,25 @@ def counter_rate(
     )
 
 
+def latest_rate(
+    samples: DataFrame, labels: Sequence[str], window_seconds: int = 120, ts: str = "ts", value: str = "value"
+) -> DataFrame:
+    """(labels, ts, value, rate) at the newest sample of each series only.
+
+    The newest time of every series is found by a partial aggregate, written out and broadcast when counted small; then
+    only the samples of one window per series are shuffled and sorted, and not the whole history.
+    """
+    labels = list(labels)
+    kept = samples.where(F.col(ts).isNotNull() & F.col(value).isNotNull())
+    newest = settle(kept.groupBy(*labels).agg(F.max(ts).alias("_newest")))
+    recent = kept.join(broadcast_when_small(newest), labels).where(
+        F.unix_micros(ts) >= F.unix_micros("_newest") - int(window_seconds * 1_000_000)
+    )
+    rates = counter_rate(recent.select(*labels, ts, value), labels, window_seconds, ts, value)
+    last = rates.groupBy(*labels).agg(F.max(F.struct(ts, value, "rate")).alias("_last"))
+    return last.select(*labels, "_last.*")
+
+
 def progress_end_offsets(spark: SparkSession, progress: Mapping) -> DataFrame:
     """(topic, partition, end_offset) from a streaming query's progress report, without reading any message."""
     rows = []

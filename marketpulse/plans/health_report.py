@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketpulse.functions.numbers import ACTIVITY_STEPS, DATASET_AGE_STEPS, band
-from marketpulse.operators.health import age_seconds, counter_rate, last_not_null, sum_by
+from marketpulse.operators.health import age_seconds, latest_rate, sum_by
 
 
 def feed_health(messages: DataFrame, samples: DataFrame, now: Column, window_seconds: int = 120) -> DataFrame:
     """(topic, end_offset, rows, seconds_since_update, age_band, activity, rate).
 
     `messages` holds (topic, partition, offset, ts) and is read once; `samples` a counter per (topic, partition) over
-    time. `rate` is the latest rate of each partition, summed. What is joined is one row per topic.
+    time. `rate` is the rate at the newest sample of each partition, summed. What is joined is one row per topic.
     """
     parts = messages.groupBy("topic", "partition").agg(
         (F.max("offset") + 1).alias("end_offset"), F.count("*").alias("rows"), F.max("ts").alias("newest")
@@ -20,8 +20,7 @@ def feed_health(messages: DataFrame, samples: DataFrame, now: Column, window_sec
     topics = parts.groupBy("topic").agg(
         F.sum("end_offset").alias("end_offset"), F.sum("rows").alias("rows"), F.max("newest").alias("newest")
     )
-    rates = counter_rate(samples, ["topic", "partition"], window_seconds)
-    rate = sum_by(last_not_null(rates, ["topic", "partition"], "rate"), ["topic"], "rate")
+    rate = sum_by(latest_rate(samples, ["topic", "partition"], window_seconds), ["topic"], "rate")
     return (
         topics.withColumn("seconds_since_update", age_seconds("newest", now))
         .join(rate, "topic", "left")

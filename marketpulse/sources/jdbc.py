@@ -32,6 +32,14 @@ def swap_statements(
     return statements + [f"{clear} {target}", f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging}"]
 
 
+def merge_statements(target: str, staging: str, columns: Sequence[str], keys: Sequence[str]) -> list[str]:
+    """Insert from staging, or update the other columns where the key is there already (PostgreSQL)."""
+    names, key = ", ".join(columns), ", ".join(keys)
+    updates = ", ".join(f"{column} = EXCLUDED.{column}" for column in columns if column not in keys)
+    insert = f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging}"
+    return [f"{insert} ON CONFLICT ({key}) DO UPDATE SET {updates}"]
+
+
 def run_in_transaction(connection, statements: Sequence[str]) -> None:
     """Run the statements on a java.sql.Connection: all of them or none. Closes it."""
     try:
@@ -77,6 +85,20 @@ def publish_jdbc(
     run_in_transaction(connect(df.sparkSession, url, properties), statements)
 
 
+def merge_jdbc(
+    df: DataFrame, url: str, target: str, properties: Mapping[str, str], columns: Sequence[str],
+    keys: Sequence[str] = ("ticker", "day"), staging: str | None = None, connections: int = 8,
+    connect=open_connection, stage=write_jdbc_staging,
+) -> None:
+    """Write to a staging table from the executors, then upsert it into `target` by key in one transaction.
+
+    Columns of the target that are not named keep their values, or take the table's defaults in a new row.
+    """
+    staging = staging or f"{target}__staging"
+    stage(publishable(df, columns), url, staging, properties, connections)
+    run_in_transaction(connect(df.sparkSession, url, properties), merge_statements(target, staging, columns, keys))
+
+
 def read_served(
     spark: SparkSession, url: str, table: str, properties: Mapping[str, str], day_bounds: tuple[str, str] | None = None,
     connections: int = 8,

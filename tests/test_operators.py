@@ -326,6 +326,33 @@ def test_upsert_replaces_keeps_and_adds(spark):
     ]
 
 
+@relaxed
+@given(
+    st.dictionaries(st.tuples(st.sampled_from("AB"), st.integers(1, 4)), st.integers(0, 9), max_size=8),
+    st.dictionaries(st.tuples(st.sampled_from("AB"), st.integers(1, 4)), st.integers(0, 9), max_size=8),
+)
+def test_upsert_is_a_dictionary_update(spark, old, new):
+    table = lambda items: spark.createDataFrame([(t, D(2024, 1, d), 0.5, v) for (t, d), v in items.items()], KEYED)
+    expected = sorted((t, D(2024, 1, d), v) for (t, d), v in {**old, **new}.items())
+    once = upsert.upsert(table(old), table(new), ["ticker", "day"])
+    assert sorted(rows(once.select("ticker", "day", "mentions"))) == expected
+    partial = upsert.upsert(table(old), table(new).drop("avg_sentiment"), ["ticker", "day"], {"avg_sentiment": 0.5})
+    assert bag(partial) == bag(once)
+    assert not upsert.repeated_keys(once, ["ticker", "day"]).count()
+
+
+@relaxed
+@given(st.lists(st.tuples(
+    st.one_of(st.none(), st.floats(0, 100)), st.floats(-1, 1), st.integers(0, 300)
+), min_size=1, max_size=12))
+def test_every_day_gets_one_signal(spark, days):
+    table = joined(spark, *[(i + 1, *values) for i, values in enumerate(days)])
+    got = signals.investment_signal(table).collect()
+    assert len(got) == len(days) and {row["signal"] for row in got} <= {"BUY", "SELL", "HOLD"}
+    coded = signals.joined_daily_signal(table).collect()
+    assert len(coded) == len(days) and {row["invest_signal"] for row in coded} <= {-1, 0, 1}
+
+
 def test_upsert_refuses_a_repeated_key(spark):
     target = spark.createDataFrame([], KEYED)
     delta = spark.createDataFrame([("A", D(2024, 1, 1), 0.1, 1)] * 2, KEYED)
@@ -376,6 +403,23 @@ def test_single_sample_and_reset(spark):
     ]
 
 
+def test_latest_rate_is_the_rate_at_the_newest_sample(spark):
+    rnd = random.Random(5)
+    samples = []
+    for series in "abc":
+        t = 1_700_000_000
+        for _ in range(60):
+            t += rnd.choice([10, 30, 100, 130])
+            samples.append((series, dt.datetime.fromtimestamp(t, dt.timezone.utc), float(rnd.randint(0, 50))))
+    samples += [("alone", dt.datetime(2024, 1, 1), 1.0), ("null", dt.datetime(2024, 1, 1), None)]
+    table = spark.createDataFrame(samples, "topic string, ts timestamp, value double")
+    every = health.counter_rate(table, ["topic"], 120)
+    newest = {}
+    for row in sorted(every.collect(), key=lambda row: row["ts"]):
+        newest[row["topic"]] = tuple(row)
+    assert bag(health.latest_rate(table, ["topic"], 120)) == sorted(newest.values(), key=repr) and len(newest) == 4
+
+
 def test_datasets(spark, tmp_path):
     full, empty, missing = str(tmp_path / "full"), tmp_path / "empty", str(tmp_path / "missing")
     spark.range(120).repartition(60).write.parquet(full)

@@ -218,6 +218,22 @@ def test_publish(spark, tmp_path):
     ]
 
 
+def test_merge_into_a_keyed_table(spark):
+    connection, staged = FakeConnection(), []
+    counts = spark.createDataFrame([("A", dt.date(2024, 1, 1), 3), ("A", None, 4)], "ticker string, day date, mentions bigint")
+    jdbc.merge_jdbc(
+        counts, "jdbc:x", "social_daily", {}, ["ticker", "day", "mentions"], connect=lambda *_: connection,
+        stage=lambda df, url, table, *_: staged.append((table, bag(df))),
+    )
+    assert staged == [("social_daily__staging", [("A", dt.date(2024, 1, 1), 3)])]
+    assert connection.log == [
+        "autocommit False",
+        "INSERT INTO social_daily (ticker, day, mentions) SELECT ticker, day, mentions FROM social_daily__staging "
+        "ON CONFLICT (ticker, day) DO UPDATE SET mentions = EXCLUDED.mentions",
+        "close", "commit", "close",
+    ]
+
+
 def test_failed_publish_rolls_back(spark, tmp_path):
     path = str(tmp_path / "joined")
     fx_rows = [("A", dt.date(2024, 1, 1), 1.0, 0.5, 1)]
