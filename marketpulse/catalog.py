@@ -10,7 +10,7 @@ from marketpulse import fixtures as fx
 from marketpulse.functions.numbers import first_price, last_close, quote_price
 from marketpulse.functions.texts import extract_cashtags, extract_tickers, full_text
 from marketpulse.functions.times import day_of, epoch_to_ts, parse_ingest_ts
-from marketpulse.operators import daily, decode, health, mentions, sentiment, serving, signals
+from marketpulse.operators import daily, decode, health, mentions, sentiment, serving, signals, sizing
 from marketpulse.plans import health_report, jobs
 from marketpulse.session import pin_utc
 from marketpulse.sources import feeds, tables, topics
@@ -95,7 +95,7 @@ def merge_feeds(spark, sf):
 @_query
 def upsert_prices(spark, sf):
     """All daily prices, then all of them again restated a day later: most keys are replaced, some are new."""
-    prices = _prices(spark, sf)
+    prices = sizing.settle(_prices(spark, sf))  # stands for a stored table
     target = prices.withColumnRenamed("symbol", "ticker")
     return jobs.load_prices(target, prices.withColumn("day", F.date_add("day", 1)))
 
@@ -103,7 +103,7 @@ def upsert_prices(spark, sf):
 @_query
 def upsert_mentions(spark, sf):
     """Counts a day later without a sentiment: known keys keep theirs, new ones start at zero."""
-    social = _social(spark, sf)
+    social = sizing.settle(_social(spark, sf))
     delta = social.select("ticker", F.date_add("day", 1).alias("day"), "mentions")
     return jobs.load_mentions(social, delta)
 
