@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 JOINED_COLUMNS = ("ticker", "day", "price_day_last", "avg_sentiment", "mentions")
 
-# Fixed value: the lock of the reference target, a PostgreSQL table.
+# Fixed value: how the PostgreSQL target is locked while it is refilled.
 POSTGRES_LOCK = "LOCK TABLE {target} IN EXCLUSIVE MODE"
 
 
