@@ -20,7 +20,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketpulse.llm.common import settle
+from marketpulse.llm.common import bind, settle
 
 # The tokenizer's pattern; (?U) gives \s the Unicode meaning it has in the tokenizer's own library.
 PATTERN_PREFIX = "(?U)"
@@ -54,11 +54,6 @@ def look_up(maps: Column, slots: int, key: Column) -> Column:
     return F.get(maps, (F.crc32(key.cast("binary")) % slots).cast("int"))[key]
 
 
-def bind(value: Column, body) -> Column:
-    """`body(value)` with `value` computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def fold_merges(word_hex: Column, rank_of) -> Column:
     """Array of merged pieces, in hex, of a word given in hex.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from marketpulse.session import ensure_checkpoint_dir
 
@@ -15,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def keyed_schema(df: DataFrame, key: str, rest: str) -> StructType:
+    """The key's column as it is, and the columns that `rest` declares; the key may be a struct of any columns."""
+    return StructType([StructField(key, df.schema[key].dataType), *StructType.fromDDL(rest).fields])
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write `df` to the shared checkpoint folder and read on from there: computed once, lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -31,6 +37,11 @@ def words_of(text: Column | str) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
 
+def bind(value: Column, body) -> Column:
+    """`body(value)` with `value` computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def utf8_bytes(text: Column | str) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
 
@@ -39,3 +50,28 @@ def held_out(doc_id: Column | str) -> Column:
     """Rows whose labels nobody learns from: crc32 of the id as text leaves 1 when divided by 3."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: Column, rows: int, max_bytes: int, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(text, label): at most `rows` training documents of at most `max_bytes` together, in whole texts.
+
+    Labels that are held out or null are left out, and of several labels of one id the highest counts. The sample takes
+    the smallest hashes of the ids, so it is the same in every run and does not depend on partitions.
+    """
+    ids = (
+        labels.where(~held_out(key)).select(F.col(key).alias("_id"), label.alias("label")).where("label IS NOT NULL")
+        .groupBy("_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64(F.lit(1), "_id"), "_id").limit(rows)
+    )
+    found = docs.join(F.broadcast(ids), F.col(key) == F.col("_id")).select(
+        F.xxhash64("_id", text).alias("_h"), F.coalesce(text, F.lit("")).alias("text"), "label"
+    )
+    last, held = None, 0
+    for row in found.select("_h", F.octet_length("text").alias("n")).orderBy("_h").limit(rows).collect():
+        held += row["n"]
+        if held > max_bytes:
+            break
+        last = row["_h"]
+    # Rows equal in id and text share a hash; the limit keeps the bound for them, too.
+    return found.where(F.col("_h") <= last if last is not None else F.lit(False)).select("text", "label").limit(rows)

@@ -7,10 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketpulse.llm import byte_bpe, perspectives, sharding, url_rules
-from marketpulse.llm.common import table, utf8_bytes
+from marketpulse.llm import (
+    byte_bpe, jaccard_join, ordinal_quality, perspectives, positional, quality_votes, sharding, token_counts, toxic_spans,
+    url_rules,
+)
+from marketpulse.llm.common import held_out, table
 
 N_SHARDS = 24
+TOKEN_LIMIT = 2048
+SHINGLE_WORDS, LINK_PERCENT = 4, 85
+TOXIC_SCORE = 0.7
+# Grades: 0 for poor text, 1 for good but toxic text, 2 for good text. A document is selected by P(grade >= 1).
+GRADE = F.when(F.col("quality") == 0, 0).when((F.col("quality") > 0) & (F.col("toxic") > 0), 1).when(F.col("quality") > 0, 2)
+GRADES, LEAST_GRADE, LEAST_TAIL = 3, 1, 0.5
 # Fixed values of the contract.
 URL_RULES = (
     ("allow", "org", "/"),
@@ -21,6 +30,18 @@ URL_RULES = (
 )
 
 
+def graded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, expected_grade, tail) of `docs`, from a model that the labels of `sf_dir` fit."""
+    model = ordinal_quality.train(docs, table(spark, sf_dir, "labels"), GRADE, GRADES)
+    return ordinal_quality.score(docs, model, LEAST_GRADE)
+
+
+def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graded(spark, table(spark, sf_dir, "documents"), sf_dir).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "expected_grade", "tail", (F.col("tail") >= LEAST_TAIL).alias("kept")
+    )
+
+
 def op2_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rotated = perspectives.rotate(table(spark, sf_dir, "conversations"))
     spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
@@ -40,6 +61,34 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_votes.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"), SHINGLE_WORDS, LINK_PERCENT)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, score, spans) of `docs`, from a model that the labels of `sf_dir` fit."""
+    return toxic_spans.score(docs, toxic_spans.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(spark, table(spark, sf_dir, "documents"), sf_dir)
+    return scored.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,6 +105,18 @@ def bpe_digest(encoded: DataFrame, ranks: str) -> DataFrame:
     )
 
 
+def op10_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = positional.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_perspectives, op3_sharding, op4_url_rules, op9_byte_bpe)
+    f.__name__: f
+    for f in (
+        op1_ordinal_quality, op2_perspectives, op3_sharding, op4_url_rules, op5_token_counts, op6_quality_votes,
+        op7_jaccard_join, op8_toxic_spans, op9_byte_bpe, op10_positional,
+    )
 }

@@ -20,7 +20,7 @@ from uuid import uuid4
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketpulse.llm.common import ascii_lower
+from marketpulse.llm.common import ascii_lower, keyed_schema
 from marketpulse.session import ensure_checkpoint_dir
 
 # What the digest file may hold, since every executor gets a copy of it.
@@ -119,7 +119,6 @@ def judge(
     name = build_index(pages.sparkSession, rules)
     lengths = sorted({len(path) for _, _, path in rules})
     rows = pages.select(key, host_of(url).alias("host"), path_of(url).alias("path"))
-    kind = dict(pages.dtypes)[key]
 
     def probe(batches: Iterable) -> Iterator:
         import pyarrow as pa
@@ -147,4 +146,4 @@ def judge(
                 names=[key, "host", "path", "rule", "verdict"],
             )
 
-    return rows.mapInArrow(probe, f"`{key}` {kind}, host string, path string, rule string, verdict string")
+    return rows.mapInArrow(probe, keyed_schema(pages, key, "host string, path string, rule string, verdict string"))
