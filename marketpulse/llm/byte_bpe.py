@@ -30,6 +30,8 @@ FREQUENT_WORDS = 1 << 18
 ENTRIES_PER_MAP = 4
 # Stands for "no rank" in a comparison; ranks are below it.
 NO_RANK = (1 << 31) - 1
+# Positions in a word are below this.
+PLACES = 1 << 31
 
 
 @lru_cache(maxsize=4)
@@ -55,47 +57,40 @@ def look_up(maps: Column, slots: int, key: Column) -> Column:
 
 
 def fold_merges(word_hex: Column, rank_of) -> Column:
-    """Array of merged pieces, in hex, of a word given in hex.
+    """Where the merged pieces of a word given in hex begin, with the word's end: an array of pair ranks and positions.
 
-    The fold carries the pieces and the rank of each neighbouring pair, so a merge looks up two new pairs only. There
-    are at most as many merges as bytes but one; once no pair has a rank, the rest of the fold passes its state on.
+    A piece is its position, and a pair the part of the word from one piece to the end of the next, so no piece is ever
+    put together. An element holds the rank of a piece's pair with the next one above its position, so the least element
+    is the leftmost pair of the lowest rank. A merge takes out the right piece's element and looks up the two pairs that
+    change. There are at most as many merges as bytes but one; once no pair has a rank, the fold passes its state on.
     """
-    def pair_rank(left: Column, right: Column) -> Column:
-        return F.coalesce(rank_of(F.concat(left, right)), F.lit(NO_RANK))
-
-    def merge(state: Column, least: Column) -> Column:
-        parts, ranks = state["parts"], state["ranks"]
-
-        def around(at: Column) -> Column:
-            # `at` is the position of the pair's left piece, from 1 on.
-            def put(piece: Column) -> Column:
-                before = F.when(at > 1, F.array(pair_rank(F.get(parts, at - 2), piece))).otherwise(F.array().cast("array<int>"))
-                after = F.when(at < F.size(ranks), F.array(pair_rank(piece, F.get(parts, at + 1)))).otherwise(
-                    F.array().cast("array<int>")
-                )
-                return F.struct(
-                    F.concat(F.slice(parts, F.lit(1), at - 1), F.array(piece), F.slice(parts, at + 2, F.size(parts))).alias("parts"),
-                    F.concat(
-                        F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after, F.slice(ranks, at + 2, F.size(parts))
-                    ).alias("ranks"),
-                )
-
-            return bind(F.concat(F.get(parts, at - 1), F.get(parts, at)), put)
-
-        return bind(F.array_position(ranks, least).cast("int"), around)
+    def place(element: Column) -> Column:
+        return element.bitwiseAND(F.lit(PLACES - 1)).cast("int")
+
+    def element(start: Column, end: Column) -> Column:
+        rank = rank_of(F.substring(word_hex, start + 1, end - start))
+        return F.coalesce(rank, F.lit(NO_RANK)).cast("bigint") * F.lit(PLACES) + start
 
     def step(state: Column, _: Column) -> Column:
-        return bind(
-            F.coalesce(F.array_min(state["ranks"]), F.lit(NO_RANK)),
-            lambda least: F.when(least == NO_RANK, state).otherwise(merge(state, least)),
-        )
+        def merge(least: Column, at: Column) -> Column:
+            # `at` is the place of the pair's left piece in the array, from 1 on; the one of its right piece goes.
+            before, right = F.get(state, at - 2), F.get(state, at)
+
+            def moved(e: Column) -> Column:
+                return F.when(e == least, element(place(least), place(F.get(state, at + 2)))).when(
+                    e == before, element(place(before), place(F.get(state, at + 1)))
+                ).otherwise(e)
 
-    def fold(parts: Column) -> Column:
-        pairs = F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), pair_rank)
-        start = F.struct(parts.alias("parts"), F.slice(pairs, F.lit(1), F.size(parts) - 1).alias("ranks"))
-        return F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), start, step)["parts"]
+            return F.transform(F.array_remove(state, right), moved)
 
-    return bind(F.regexp_extract_all(word_hex, F.lit("(..)"), F.lit(1)), fold)
+        return bind(F.array_min(state), lambda least: F.when(least >= NO_RANK * PLACES, state).otherwise(
+            bind(F.array_position(state, least).cast("int"), lambda at: merge(least, at))
+        ))
+
+    size = F.length(word_hex)
+    # One place more than bytes: the last is the word's end. Two bytes are four digits.
+    start = F.transform(F.sequence(F.lit(0), size, F.lit(2)), lambda i: element(i, F.when(i + 4 <= size, i + 4)))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(size / 2 - 1, F.lit(1)).cast("int")), start, step)
 
 
 def encode_word(word: Column, ranks: Column, slots: int) -> Column:
@@ -104,8 +99,16 @@ def encode_word(word: Column, ranks: Column, slots: int) -> Column:
         return look_up(ranks, slots, piece)
 
     def by_hex(word_hex: Column) -> Column:
-        ids = F.transform(fold_merges(word_hex, rank_of), lambda piece: rank_of(piece).cast("string"))
-        return F.coalesce(rank_of(word_hex).cast("string"), F.array_join(ids, " "))
+        def ids(merged: Column) -> Column:
+            begins = F.transform(merged, lambda e: e.bitwiseAND(F.lit(PLACES - 1)).cast("int"))
+            return bind(begins, lambda b: F.transform(
+                F.slice(b, F.lit(1), F.size(b) - 1),
+                lambda begin, i: rank_of(F.substring(word_hex, begin + 1, F.get(b, i + 1) - begin)).cast("string"),
+            ))
+
+        return F.coalesce(
+            rank_of(word_hex).cast("string"), F.array_join(bind(fold_merges(word_hex, rank_of), ids), " ")
+        )
 
     return bind(F.hex(word.cast("binary")), by_hex)
 

@@ -38,8 +38,12 @@ def words_of(text: Column | str) -> Column:
 
 
 def bind(value: Column, body) -> Column:
-    """`body(value)` with `value` computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """`body(value)` with `value` computed once, however often the body names it.
+
+    The fold over no elements only hands its start value to its last step. Taking the one element of a transformed array
+    would do the same, but Spark then works out the type of the whole body for every row.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda bound, _: bound, body)
 
 
 def utf8_bytes(text: Column | str) -> Column:

@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -109,7 +110,6 @@ def frequent_cells(docs: DataFrame, n: int, text: str) -> bytes:
         import zlib
 
         import numpy as np
-        import pyarrow as pa
 
         shingles = shingler(n)
         counts = np.zeros(CELLS, dtype=np.uint16)
@@ -133,11 +133,10 @@ def frequent_cells(docs: DataFrame, n: int, text: str) -> bytes:
             packed = [zlib.compress(block.tobytes(), 1) for block in counts.reshape(BLOCKS, per_block)]
             yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(packed)], names=["block", "counts"])
 
-    def mark(key: tuple, batches: Iterator) -> Iterator:
+    def mark(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
         import numpy as np
-        import pyarrow as pa
 
         total = np.zeros(per_block, dtype=np.int64)
         for batch in batches:
@@ -163,7 +162,6 @@ def prefixes(docs: DataFrame, n: int, percent: int, text: str, frequent: Any) ->
 
     def cut(batches: Iterable) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
         shingles, mix = shingler(n), mixer()
         marked = np.frombuffer(frequent.value, dtype=np.uint8)
@@ -200,8 +198,6 @@ def class_of(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
     """(key, c, n): every document with its class and the size of its set."""
 
     def name(batches: Iterable) -> Iterator:
-        import pyarrow as pa
-
         shingles = shingler(n)
         for batch in batches:
             sets = [shingles(t.as_py()) for t in batch.column(1)]
@@ -232,7 +228,6 @@ def verified(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, n: int,
 
     def compare(batches: Iterable) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
         shingles = shingler(n)
         for batch in batches:
@@ -335,8 +330,6 @@ def class_texts(docs: DataFrame, n: int, text: str) -> DataFrame:
     """(c, t): texts with their class, once for each class and task."""
 
     def name(batches: Iterable) -> Iterator:
-        import pyarrow as pa
-
         shingles = shingler(n)
         seen: set[bytes] = set()
         for batch in batches:

@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from marketpulse.llm.common import keyed_schema, labelled_sample
 
@@ -148,9 +148,10 @@ def fit(rows, indices, values, grades, n_grades: int) -> OrdinalModel:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, key: str = "doc_id", text: str = "text",
+    docs: DataFrame, labels: DataFrame, grade: str, n_grades: int, key: str = "doc_id", text: str = "text",
     sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
 ) -> OrdinalModel:
+    """Fit on a sample of `docs`; `grade` is an SQL expression over the labels' columns, from 0 to n_grades - 1."""
     import numpy as np
 
     def featurise(batches: Iterable) -> Iterator:
@@ -165,7 +166,7 @@ def train(
                 names=["label", "indices", "values"],
             )
 
-    sample = labelled_sample(docs, labels, grade.cast("int"), sample_rows, sample_bytes, key, text)
+    sample = labelled_sample(docs, labels, F.expr(grade).cast("int"), sample_rows, sample_bytes, key, text)
     got = sample.mapInArrow(featurise, "label int, indices array<int>, values array<float>").toArrow()
     lengths = np.array(got["indices"].combine_chunks().value_lengths(), dtype=np.int64)
     return fit(

@@ -18,7 +18,7 @@ TOKEN_LIMIT = 2048
 SHINGLE_WORDS, LINK_PERCENT = 4, 85
 TOXIC_SCORE = 0.7
 # Grades: 0 for poor text, 1 for good but toxic text, 2 for good text. A document is selected by P(grade >= 1).
-GRADE = F.when(F.col("quality") == 0, 0).when((F.col("quality") > 0) & (F.col("toxic") > 0), 1).when(F.col("quality") > 0, 2)
+GRADE = "CASE WHEN quality = 0 THEN 0 WHEN quality > 0 AND toxic > 0 THEN 1 WHEN quality > 0 THEN 2 END"
 GRADES, LEAST_GRADE, LEAST_TAIL = 3, 1, 0.5
 # Fixed values of the contract.
 URL_RULES = (

@@ -9,7 +9,7 @@ that runs again after an executor is lost gives the same result.
 
 Records with equal ids or equal texts are spread like any others, as the hash covers all columns. Records equal in every
 column share a bucket. Null ids and texts count as values. An empty table gives no row. Of more shards than records some
-stay empty.
+stay empty. Columns of the input that are called shard or slot give way to the new ones.
 """
 
 from __future__ import annotations
@@ -44,10 +44,14 @@ def shuffle_shards(
     import pyarrow as pa
 
     spark = docs.sparkSession
+    docs = docs.drop("shard", "slot")
+    bucket_name = "_bucket"
+    while bucket_name in docs.columns:
+        bucket_name += "_"
     total = docs.agg(F.sum(record_size(text)).alias("bytes"), F.count("*").alias("rows")).first()
     n_buckets = max(1, -(-(total["bytes"] or 0) // bucket_bytes))
-    placed = docs.withColumn("_bucket", scattered(docs, n_buckets, seed))
-    counts = {row["_bucket"]: row["n"] for row in placed.groupBy("_bucket").agg(F.count("*").alias("n")).toLocalIterator()}
+    placed = docs.withColumn(bucket_name, scattered(docs, n_buckets, seed))
+    counts = {row["_at"]: row["n"] for row in placed.groupBy(F.col(bucket_name).alias("_at")).agg(F.count("*").alias("n")).toLocalIterator()}
     starts, at = [], 0
     for bucket in range(n_buckets):
         starts.append(at)
@@ -70,7 +74,7 @@ def shuffle_shards(
         taken = records.take(pa.array(order))
         return taken.append_column("shard", pa.array(shard.astype(np.int32))).append_column("slot", pa.array(rank - first))
 
-    return placed.groupBy("_bucket").applyInArrow(fisher_yates, schema)
+    return placed.groupBy(bucket_name).applyInArrow(fisher_yates, schema)
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:

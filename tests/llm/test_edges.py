@@ -61,7 +61,7 @@ def pairs(rows):
 def test_sharding(spark, docs):
     rows = sharding.shuffle_shards(docs, 5, bucket_bytes=50_000).collect()
     assert pairs((r["doc_id"], r["text"]) for r in rows) == pairs(TEXTS)
-    sizes = [sorted(r["slot"] for r in rows if r[-2] == s) for s in range(5)]
+    sizes = [sorted(r["slot"] for r in rows if r["shard"] == s) for s in range(5)]
     assert all(s == list(range(len(s))) for s in sizes) and max(map(len, sizes)) - min(map(len, sizes)) <= 1
     again = sharding.shuffle_shards(docs.repartition(7), 5, bucket_bytes=50_000).collect()
     assert sorted(map(repr, rows)) == sorted(map(repr, again))
