@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -22,9 +24,14 @@ def keyed_schema(df: DataFrame, key: str, rest: str) -> StructType:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and read on from there: computed once, lineage cut."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` as Parquet to the shared checkpoint folder and read on from there: computed once, lineage cut.
+
+    Unlike the files of `checkpoint()`, these are compressed, readers skip columns, and the planner knows their size.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(text: Column | str) -> Column:

@@ -29,11 +29,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from marketpulse.llm.common import keyed_schema, settle
+from marketpulse.operators.sizing import broadcast_when_small
 
 ORDERS = 3
 # The sketch: so many counters, in blocks that are summed apart from one another.
 CELLS, BLOCKS = 1 << 24, 256
-CACHED = 400_000
+# Bytes of text that a task hashes at once, and the base of the polynomial: any odd number without a pattern.
+BUFFER_BYTES, BASE = 4 << 20, 0x9E3779B97F4A7C15
 
 
 def mixer() -> Callable:
@@ -49,35 +51,75 @@ def mixer() -> Callable:
     return mix
 
 
-def shingler(n: int) -> Callable[[str | None], Any]:
-    """Sorted distinct 64-bit tokens of a text's word n-grams."""
+def byte_values() -> tuple:
+    """A random 64-bit number for each byte, the same for A-Z and a-z, and whether a byte is a blank."""
+    import numpy as np
+
+    values = np.random.default_rng(2024).integers(0, 1 << 64, size=256, dtype=np.uint64)
+    values[65:91] = values[97:123]
+    blank = np.zeros(256, dtype=bool)
+    blank[[9, 10, 11, 12, 13, 32]] = True
+    return values, blank
+
+
+def shingler(n: int) -> Callable[[Any], Iterator]:
+    """For a column of texts, each text's sorted distinct 64-bit tokens of word n-grams.
+
+    Many texts are cut and hashed at once: a word's hash is a polynomial of its bytes, which is the difference of two
+    running sums over the whole buffer, taken back to the word's beginning by the inverse power. A mix of the hash and the
+    length follows, so words do not get related numbers.
+    """
     import numpy as np
-    import xxhash
 
-    cache: dict[bytes, int] = {}
     mix = mixer()
-    digest = xxhash.xxh64_intdigest
-
-    def shingles(text: str | None):
-        # On bytes, lower() changes A-Z only, and split() cuts at the six ASCII blanks only.
-        words = (text or "").encode().lower().split()
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        if len(cache) > CACHED:
-            cache.clear()
-        hashes = list(map(cache.get, words))
-        if None in hashes:
-            for word in words:
-                if word not in cache:
-                    cache[word] = digest(word)
-            hashes = [cache[word] for word in words]
-        h = np.array(hashes, dtype=np.uint64)
+    values, blank = byte_values()
+    powers = inverses = np.ones(1, dtype=np.uint64)
+
+    def tokens_of(h):
         width = min(n, len(h))
-        count = len(h) - width + 1
-        token = np.full(count, np.uint64(width))
+        token = np.full(len(h) - width + 1, np.uint64(width))
         for j in range(width):
-            token = mix(token ^ h[j : j + count], j + 1)
-        return np.unique(token)
+            token = mix(token ^ h[j : j + len(token)], j + 1)
+        return token
+
+    def of_buffer(data, bounds) -> Iterator:
+        nonlocal powers, inverses
+        if len(powers) <= len(data):
+            powers = np.concatenate([np.ones(1, dtype=np.uint64), np.cumprod(np.full(len(data) + 1, np.uint64(BASE)))])
+            inverses = np.concatenate(
+                [np.ones(1, dtype=np.uint64), np.cumprod(np.full(len(data) + 1, np.uint64(pow(BASE, -1, 1 << 64))))]
+            )
+        inside = ~blank[data]
+        # A text's first byte begins a word, and its last one ends it, whatever stands beside it in the buffer.
+        edge = np.zeros(len(data) + 1, dtype=bool)
+        edge[bounds] = True
+        left = np.concatenate([[False], inside[:-1]]) if len(data) else inside
+        starts = np.flatnonzero(inside & (~left | edge[:-1]))
+        right = np.concatenate([inside[1:], [False]]) if len(data) else inside
+        ends = np.flatnonzero(inside & (~right | edge[1:])) + 1
+        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values[data] * powers[: len(data)], dtype=np.uint64)])
+        h = mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64), 99)
+        every = tokens_of(h) if len(h) >= n else h[:0]
+        of_text = np.searchsorted(starts, bounds)
+        for begin, end in zip(of_text[:-1], of_text[1:]):
+            if end - begin >= n:
+                token = np.sort(every[begin : end - n + 1])
+                keep = np.ones(len(token), dtype=bool)
+                np.not_equal(token[1:], token[:-1], out=keep[1:])
+                yield token[keep]
+            else:
+                yield tokens_of(h[begin:end]) if end > begin else h[:0]
+
+    def shingles(column) -> Iterator:
+        column = pa.chunked_array([column]).combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        column = column.fill_null("").cast(pa.large_string())
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
+        at = 0
+        while at < len(column):
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BUFFER_BYTES, side="right")) - 1)
+            yield from of_buffer(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
+            at = to
 
     return shingles
 
@@ -98,15 +140,17 @@ def index_length(size: int, percent: int) -> int:
     return size - -(-2 * percent * size // (100 + percent)) + 1
 
 
-def frequent_cells(docs: DataFrame, n: int, text: str) -> bytes:
-    """Bitmap over the sketch's cells: 1 where more tokens fall than chance explains, so that common ones are there.
+def survey(docs: DataFrame, n: int, key: str, text: str) -> tuple[DataFrame, bytes]:
+    """One pass over the texts: (key, c, n, h1, h2) for every document, and a bitmap over the sketch's cells.
 
-    Every task counts its tokens in a sketch of fixed size; the sketches are summed block by block. A cell is marked by
-    its excess over the mean of its block. The bitmap takes two megabytes, whatever the corpus.
+    c is the class, n the size of the set, and h1 and h2 hash the text. A cell of the bitmap is 1 where more tokens fall
+    than chance explains, so that common tokens are there. Every task counts its tokens in a sketch of fixed size; the
+    sketches are summed block by block, and a cell is marked by its excess over the mean of its block. The bitmap takes
+    two megabytes, whatever the corpus.
     """
     per_block = CELLS // BLOCKS
 
-    def sketch(batches: Iterable) -> Iterator:
+    def look(batches: Iterable) -> Iterator:
         import zlib
 
         import numpy as np
@@ -120,18 +164,33 @@ def frequent_cells(docs: DataFrame, n: int, text: str) -> bytes:
             cells, found = np.unique((np.concatenate(held) >> np.uint64(40)).astype(np.int64), return_counts=True)
             counts[cells] = np.minimum(counts[cells].astype(np.int64) + found, 65535)
 
+        def rows(keys, classes, sizes, h1, h2, blocks, packed):
+            return pa.RecordBatch.from_arrays(
+                [keys, pa.array(classes, pa.binary()), pa.array(sizes, pa.int32()), h1, h2, pa.array(blocks, pa.int32()),
+                 pa.array(packed, pa.binary())],
+                names=[key, "c", "n", "h1", "h2", "block", "counts"],
+            )
+
+        kind = None
         for batch in batches:
-            for t in batch.column(0):
-                held.append(shingles(t.as_py()))
-                size += len(held[-1])
+            kind = batch.schema
+            classes, sizes = [], []
+            for tokens in shingles(batch.column(1)):
+                classes.append(fingerprint(tokens))
+                sizes.append(len(tokens))
+                held.append(tokens)
+                size += len(tokens)
                 if size > 1_000_000:
                     add()
                     held, size = [], 0
+            nothing = [None] * batch.num_rows
+            yield rows(batch.column(0), classes, sizes, batch.column(2), batch.column(3), nothing, nothing)
         if held:
             add()
         if counts.any():
             packed = [zlib.compress(block.tobytes(), 1) for block in counts.reshape(BLOCKS, per_block)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(packed)], names=["block", "counts"])
+            nulls = pa.nulls(BLOCKS, pa.int64())
+            yield rows(pa.nulls(BLOCKS, kind.field(0).type), [None] * BLOCKS, [None] * BLOCKS, nulls, nulls, range(BLOCKS), packed)
 
     def mark(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
@@ -148,10 +207,12 @@ def frequent_cells(docs: DataFrame, n: int, text: str) -> bytes:
             [pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(marked).tobytes()])], names=["block", "bits"]
         )
 
-    counts = docs.select(text).mapInArrow(sketch, "block int, counts binary")
-    blocks = counts.groupBy("block").applyInArrow(mark, "block int, bits binary").collect()
-    bits = {row["block"]: bytes(row["bits"]) for row in blocks}
-    return b"".join(bits.get(b, bytes(per_block // 8)) for b in range(BLOCKS))
+    hashed = docs.select(key, text, F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"))
+    seen = settle(hashed.mapInArrow(look, keyed_schema(docs, key, "c binary, n int, h1 bigint, h2 bigint, block int, counts binary")))
+    sketches = seen.where("block IS NOT NULL").select("block", "counts")
+    bits = {row["block"]: bytes(row["bits"]) for row in sketches.groupBy("block").applyInArrow(mark, "block int, bits binary").collect()}
+    bitmap = b"".join(bits.get(block, bytes(per_block // 8)) for block in range(BLOCKS))
+    return seen.where("block IS NULL").select(key, "c", "n", "h1", "h2"), bitmap
 
 
 def prefixes(docs: DataFrame, n: int, percent: int, text: str, frequent: Any) -> DataFrame:
@@ -168,8 +229,7 @@ def prefixes(docs: DataFrame, n: int, percent: int, text: str, frequent: Any) ->
         seen: set[bytes] = set()
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for t in batch.column(0):
-                tokens = shingles(t.as_py())
+            for tokens in shingles(batch.column(0)):
                 c = fingerprint(tokens)
                 if not len(tokens) or c in seen:
                     continue
@@ -194,21 +254,6 @@ def prefixes(docs: DataFrame, n: int, percent: int, text: str, frequent: Any) ->
     return docs.select(text).mapInArrow(cut, "c binary, n int, first array<bigint>, others array<array<int>>")
 
 
-def class_of(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """(key, c, n): every document with its class and the size of its set."""
-
-    def name(batches: Iterable) -> Iterator:
-        shingles = shingler(n)
-        for batch in batches:
-            sets = [shingles(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([fingerprint(s) for s in sets], pa.binary()), pa.array(map(len, sets), pa.int32())],
-                names=[key, "c", "n"],
-            )
-
-    return docs.select(key, text).mapInArrow(name, keyed_schema(docs, key, "c binary, n int"))
-
-
 def alike(left: str, right: str, percent: int) -> Column:
     """Whether sizes allow the similarity; `left` is not larger."""
     return 100 * F.col(left).cast("bigint") >= percent * F.col(right).cast("bigint")
@@ -231,22 +276,11 @@ def verified(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, n: int,
 
         shingles = shingler(n)
         for batch in batches:
-            known: dict[bytes, Any] = {}
-            links = []
-            for a, b, ta, tb in zip(*(batch.column(i) for i in range(4))):
-                a, b = a.as_py(), b.as_py()
-                for c, t in ((a, ta), (b, tb)):
-                    if c not in known:
-                        if len(known) > 64:
-                            known.clear()
-                        known[c] = shingles(t.as_py())
-                sa = known.get(a) if a in known else shingles(ta.as_py())
-                both = len(np.intersect1d(sa, known[b], assume_unique=True))
-                if (100 + percent) * both >= percent * (len(sa) + len(known[b])):
-                    links.append((a, b))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in links], pa.binary()), pa.array([x[1] for x in links], pa.binary())], names=["a", "b"]
-            )
+            similar = []
+            for sa, sb in zip(shingles(batch.column(2)), shingles(batch.column(3))):
+                both = len(np.intersect1d(sa, sb, assume_unique=True))
+                similar.append((100 + percent) * both >= percent * (len(sa) + len(sb)))
+            yield batch.filter(pa.array(similar, pa.bool_())).select(["a", "b"])
 
     ta = texts.select(F.col("c").alias("a"), F.col("t").alias("ta"))
     tb = texts.select(F.col("c").alias("b"), F.col("t").alias("tb"))
@@ -274,8 +308,8 @@ def components(links: DataFrame) -> DataFrame:
 def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) for every document: links are Jaccard similarities of percent/100 and more."""
     spark = docs.sparkSession
-    named = settle(class_of(docs, n, key, text))
-    frequent = spark.sparkContext.broadcast(frequent_cells(docs, n, text))
+    named, bitmap = survey(docs, n, key, text)
+    frequent = spark.sparkContext.broadcast(bitmap)
     signatures = settle(prefixes(docs, n, percent, text, frequent).dropDuplicates(["c"]))
 
     # Postings: size bands are a factor of percent/100 apart, so sizes that allow a link are at most one band apart.
@@ -288,11 +322,11 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
             "c", "n", "band", "token", (F.col("at") < F.col("short")).alias("indexed")
         )
     )
-    needed = shared.select("c").distinct()
-    # One text for each class that shares a token with another.
-    texts = settle(
-        class_texts(docs, n, text).join(needed, "c", "left_semi").groupBy("c").agg(F.min("t").alias("t"))
-    )
+    # One text for each class that shares a token with another, found by the text's hashes.
+    one = named.groupBy("c").agg(F.min(F.struct("h1", "h2")).alias("h"))
+    needed = settle(one.join(shared.select("c").distinct(), "c", "left_semi").select("c", "h.h1", "h.h2"))
+    hashed = docs.select(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"), F.col(text).alias("t"))
+    texts = settle(hashed.join(broadcast_when_small(needed), ["h1", "h2"]).select("c", "t").dropDuplicates(["c"]))
 
     smallest = Window.partitionBy("token", "band")
     star = shared.select("c", "n", F.min(F.struct("n", "c")).over(smallest).alias("p")).where(F.col("c") != F.col("p.c")).select(
@@ -324,23 +358,3 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
         key, F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col(key)).otherwise(F.col("component_id")).alias("component_id"),
     )
-
-
-def class_texts(docs: DataFrame, n: int, text: str) -> DataFrame:
-    """(c, t): texts with their class, once for each class and task."""
-
-    def name(batches: Iterable) -> Iterator:
-        shingles = shingler(n)
-        seen: set[bytes] = set()
-        for batch in batches:
-            classes, kept = [], []
-            for t in batch.column(0):
-                content = t.as_py()
-                c = fingerprint(shingles(content))
-                if c not in seen:
-                    seen.add(c)
-                    classes.append(c)
-                    kept.append(content)
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), pa.array(kept, pa.string())], names=["c", "t"])
-
-    return docs.select(text).mapInArrow(name, "c binary, t string")

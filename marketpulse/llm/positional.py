@@ -22,18 +22,18 @@ from pyspark.sql.window import Window
 from marketpulse.llm.common import LOWER, UPPER, settle
 from marketpulse.operators.sizing import broadcast_when_small
 
-# Fixed value of the contract: what separates words, after A-Z are lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value of the contract: what separates words is all of ASCII but digits and letters.
+SEPARATORS = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 SPAN = 10
 RAREST = 3
 SLOP = 2
 
 
 def words_of(text: Column | str) -> Column:
-    """Lower-cased words. `lower` does the same as replacing A-Z on texts of one byte a character, and is faster."""
+    """Words with A-Z lower-cased. One replacement of characters does both, and is twice as fast as a pattern."""
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    plain = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))
+    plain = F.translate(text, UPPER + SEPARATORS, LOWER + " " * len(SEPARATORS))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def phrases_of(items: DataFrame, span: int, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -108,7 +108,7 @@ def find_matches(
     phrases = settle(phrases_of(items, span))
     places = settle(rarest_terms(docs, phrases, text, rarest))
     lists = settle(postings(identified, settle(places.select("term").distinct()), text))
-    candidates = settle(intersect(lists.distinct(), places, slop))
+    candidates = settle(intersect(lists, places, slop))
 
     exact = candidates.where("exact")
     asked = exact.groupBy("_h1", "_h2").agg(
