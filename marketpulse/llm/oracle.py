@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from marketpulse.llm.quality_votes import (
+    ITERATIONS, LEAST, MOST, RULES, START_ACCURACY, START_SHARE, THRESHOLD,
+)
+
 _PERSPECTIVES = r"""
 WITH t AS (
   SELECT conv_id, turn, role, text, coalesce(floor(turn / 256.0)::BIGINT, -1) AS part,
@@ -50,4 +54,115 @@ SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdic
 FROM p LEFT JOIN m ON p.page_id = m.page_id AND m.k = 1
 """
 
-ORACLES: dict[str, str] = {"op2_perspectives": _PERSPECTIVES, "op4_url_rules": _URL_RULES}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_ITEM_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+_COMPONENTS = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
+    lambda i: array_to_string(list_slice(w, i, i + 3), ' '))) AS shingle
+  FROM d WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS same
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY x, y
+), l AS (
+  SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * same >= 85 * (a.n + b.n - same)
+), e AS (
+  SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), r AS (
+  SELECT x AS doc_id, x AS reached FROM e UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.low, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(reached) AS low FROM r GROUP BY doc_id) c USING (doc_id)
+"""
+
+_CONTAMINATION = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, {_ITEM_WORDS}) AS w FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, {_ITEM_WORDS}) AS v FROM benchmark
+), q AS (
+  SELECT item_id, least(len(v), 10) AS size, unnest(list_transform(range(1, greatest(len(v) - 9, 1) + 1),
+    lambda k: array_to_string(list_slice(v, k, k + 9), ' '))) AS phrase
+  FROM i WHERE len(v) > 0
+), z AS (
+  SELECT DISTINCT size FROM q
+), c AS (
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS place, w FROM d, z WHERE len(w) >= size
+), h AS (
+  SELECT c.doc_id, c.place, c.size, q.item_id FROM c JOIN q
+  ON c.size = q.size AND array_to_string(list_slice(c.w, c.place, c.place + c.size - 1), ' ') = q.phrase
+), k AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(place, place + size)) AS word FROM h) GROUP BY doc_id
+), m AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
+def _quality_sql() -> str:
+    """The metrics, the ballots, and one pair of steps for each iteration of EM, written out one below the other."""
+    rules = list(RULES.values())
+    ballot = ", ".join(
+        f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS v{j}" for j, (good, bad) in enumerate(rules)
+    )
+    names = ", ".join(f"v{j}" for j in range(len(rules)))
+    evidence = " + ".join(["ln(share / (1 - share))", *(f"v{j} * ln(a{j} / (1 - a{j}))" for j in range(len(rules)))])
+    learned = ", ".join(
+        f"""coalesce(greatest({LEAST}, least({MOST}, sum(CASE v{j} WHEN 1 THEN n * p WHEN -1 THEN n * (1 - p) ELSE 0 END)
+        / nullif(sum(n * abs(v{j})), 0))), any_value(a{j})) AS a{j}""" for j in range(len(rules))
+    )
+    start = ", ".join(f"{START_ACCURACY}::DOUBLE AS a{j}" for j in range(len(rules)))
+    steps = [f"m0 AS (SELECT {START_SHARE}::DOUBLE AS share, {start})"]
+    for t in range(1, ITERATIONS + 1):
+        steps.append(f"e{t} AS (SELECT *, 1 / (1 + exp(-({evidence}))) AS p FROM b, m{t - 1})")
+        steps.append(
+            f"m{t} AS (SELECT greatest({LEAST}, least({MOST}, sum(n * p) / sum(n))) AS share, {learned} FROM e{t})"
+        )
+    return rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), win AS (
+  SELECT doc_id, unnest(range(1, len(w) - 6)) AS place, w FROM d WHERE len(w) >= 8
+), named AS (
+  SELECT doc_id, place, array_to_string(list_slice(w, place, place + 7), ' ') AS phrase FROM win
+), twice AS (
+  SELECT doc_id, place FROM named QUALIFY count(*) OVER (PARTITION BY doc_id, phrase) > 1
+), rep AS (
+  SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(place, place + 8)) AS word FROM twice) GROUP BY doc_id
+), x AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+         (length(text) - length(regexp_replace(text, '[!?]', '', 'g')))::BIGINT AS n_marks,
+         (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_capitals
+  FROM d LEFT JOIN rep USING (doc_id)
+), y AS (
+  SELECT *, {ballot} FROM x
+), b AS (
+  SELECT {names}, count(*)::DOUBLE AS n FROM y GROUP BY {names}
+), {", ".join(steps)}, f AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM y, m{ITERATIONS}
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 1 / (1 + exp(-({evidence}))) >= {THRESHOLD} AS kept
+FROM f
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op2_perspectives": _PERSPECTIVES, "op4_url_rules": _URL_RULES, "op6_quality_votes": _quality_sql(),
+    "op7_jaccard_join": _COMPONENTS, "op10_positional": _CONTAMINATION,
+}
