@@ -63,7 +63,7 @@ def _joined_text(column: str):
 
 @_query
 def table_scan(spark, sf):
-    return tables.read_table(spark, f"{sf}/events.parquet").select("event_id", "event_type", "value")
+    return tables.read_table(spark, f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @_query
@@ -73,15 +73,15 @@ def json_roundtrip(spark, sf):
 
 @_query
 def flatten_listing(spark, sf):
-    return feeds.flatten_listing(fx.listing_pages(spark, sf)).select("subreddit", "id", "title", "text", "score")
+    return feeds.flatten_listing(fx.listing_pages(spark, sf))
 
 
 @_query
 def normalize_posts(spark, sf):
     posts = feeds.normalize_posts(fx.microblog(spark, sf), fx.WATCHLIST)
     return posts.select(
-        "source", "uri", "author_handle", _joined_text("tickers"), "like_count", "repost_count", "id",
-        _plain("created_ts"),
+        "source", "uri", "cid", "author_did", "author_handle", "text", "created_at", _joined_text("tickers"), "like_count",
+        "repost_count", "reply_count", "id", _plain("created_ts"),
     )
 
 
@@ -131,7 +131,8 @@ def valid_ticks(spark, sf):
 def mentions_exploded(spark, sf):
     rows = mentions.explode_mentions(fx.social_posts(spark, sf), fx.WATCHLIST, fx.now())
     return rows.select(
-        "subreddit", "id", "ticker", _joined_text("tickers"), _plain("created_ts"), _plain("ingest_ts"), "text_length"
+        "source", "subreddit", "id", "created_utc", "title", "text", "score", "num_comments", "permalink", "full_text",
+        "ticker", _joined_text("tickers"), _plain("created_ts"), _plain("ingest_ts"), "text_length",
     )
 
 
@@ -233,6 +234,23 @@ def activity_checks(spark, sf):
     return health.activity_checks(health.dataset_rows(spark, _datasets(sf)))
 
 
+def _ages(spark, sf):
+    """Ages by event time: files' own times differ from machine to machine."""
+    ticks = fx.price_ticks(spark, sf).select(F.lit("prices_speed").alias("dataset"), F.col("ingest_ts").alias("ts"))
+    posts = fx.social_posts(spark, sf).select(F.lit("social_speed").alias("dataset"), epoch_to_ts("created_utc").alias("ts"))
+    return health.staleness(ticks.unionByName(posts), ["dataset"], "ts", fx.now())
+
+
+@_query
+def dataset_health(spark, sf):
+    return health_report.dataset_health(spark, _datasets(sf), _ages(spark, sf))
+
+
+@_query
+def overall_freshness(spark, sf):
+    return health_report.overall_freshness(_ages(spark, sf))
+
+
 @_query
 def last_not_null(spark, sf):
     ticks = fx.price_ticks(spark, sf)
@@ -371,7 +389,8 @@ def dedupe_posts(spark, sf):
 @_query
 def feed_health(spark, sf):
     report = health_report.feed_health(
-        fx.messages(spark, sf), fx.counter_samples(spark, sf), fx.now(), RATE_WINDOW
+        fx.messages(spark, sf), fx.counter_samples(spark, sf), fx.now(), RATE_WINDOW,
+        ends=fx.progress_ends(spark, sf),
     )
     # Partition rates are added up in no fixed order.
     return report.withColumn("rate", F.round("rate", 9))

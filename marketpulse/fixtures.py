@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketpulse.sources.tables import read_table, spread_small
+from marketpulse.sources.tables import read_table
 from marketpulse.sources.topics import encode_json
 
 # The test prose holds no real ticker, so frequent words stand in for symbols; some of them never occur.
@@ -57,14 +57,14 @@ def price_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_json(spread_small(price_events(spark, sf_dir)))
+    return encode_json(price_events(spark, sf_dir))
 
 
 def social_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.col("doc_id")
     seconds = (doc * doc % 30) * DAY_SECONDS + doc * 7919 % DAY_SECONDS
     ident = F.concat(F.lit("d"), doc.cast("string"))
-    return spread_small(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         F.lit("reddit").alias("source"),
         F.col("source").alias("subreddit"),
         ident.alias("id"),
@@ -78,25 +78,28 @@ def social_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reposted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All posts, polled twice: once when written and once an hour later."""
+    """All posts, polled three times: twice at the instant they were written, and once an hour later."""
     posts = social_posts(spark, sf_dir)
-    seen = F.timestamp_seconds("created_utc")
+    seen = posts.withColumn("ingest_ts", F.timestamp_seconds("created_utc"))
     again = F.timestamp_seconds(F.col("created_utc") + 3600)
-    return posts.withColumn("ingest_ts", seen).unionByName(posts.withColumn("ingest_ts", again))
+    return seen.unionByName(seen).unionByName(posts.withColumn("ingest_ts", again))
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts as pages of a forum listing. A page holds one run of 100 doc_ids of a forum, so never more than 100 posts.
 
-    Posts in Spanish have lost their id, and no post has a title.
+    Posts in Spanish have lost their id, and those in French their title.
     """
     docs = table(spark, sf_dir, "documents")
     child = F.struct(
         F.struct(
             F.when(F.col("lang") != "es", F.concat(F.lit("d"), F.col("doc_id").cast("string"))).alias("id"),
-            F.lit(1704067200.0).alias("created_utc"),
+            (F.lit(1704067200.0) + F.col("doc_id") * 61).alias("created_utc"),
+            F.when(F.col("lang") != "fr", F.split_part("text", F.lit("\n"), F.lit(1))).alias("title"),
             F.col("text").alias("selftext"),
             F.col("n_chars").alias("score"),
+            (F.col("doc_id") % 100).alias("num_comments"),
+            F.concat(F.lit("/r/d"), F.col("doc_id").cast("string")).alias("permalink"),
         ).alias("data")
     )
     pages = docs.groupBy("source", F.expr("doc_id div 100").alias("page")).agg(F.collect_list(child).alias("children"))
@@ -112,9 +115,10 @@ def microblog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("did:"), "role").alias("author_did"),
         F.col("role").alias("author_handle"),
         F.concat(F.lit("$"), F.upper("text")).alias("text"),
-        F.lit("2024-01-15T10:00:00Z").alias("created_at"),
+        F.date_format(F.timestamp_seconds(F.lit(1705312800) + F.col("conv_id") * 60), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
         F.col("turn").alias("likeCount"),
         F.lit(0).cast("bigint").alias("repostCount"),
+        (F.col("turn") + 1).alias("replyCount"),
     )
 
 
@@ -126,6 +130,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def progress_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(topic, partition, end_offset) as a query's progress gives it. Offsets are event ids, so each ends after its last."""
+    last = messages(spark, sf_dir).groupBy("topic", "partition").agg(F.max("offset").alias("last"))
+    return last.select("topic", "partition", (F.col("last") + 1).alias("end_offset"))
+
+
 def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A counter per (topic, partition) that keeps being reset."""
     return messages(spark, sf_dir).select("topic", "partition", "ts", (F.col("offset") % 50).cast("double").alias("value"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -15,8 +16,9 @@ WORD = r"[\p{L}\p{N}_]+"
 CASHTAG = r"\$([A-Z]{1,5})"
 _PLAIN_SYMBOL = re.compile(r"[A-Z]{1,5}")
 
-# Letters whose capital form is several ASCII letters. They must not turn into a ticker when upper-cased.
-WIDENING = "[ßﬀ-ﬆ]"
+# Letters whose capital form has more than one character. A whole-word match compares character by character, so these
+# match nothing, and must not turn into a ticker when upper-cased.
+WIDENING = "[" + "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if len(c.upper()) > 1) + "]"
 
 # White space as Unicode defines it, and the separator controls that Python's str.split() adds. Asking for the property
 # is twice as fast as listing the characters.
@@ -51,8 +53,11 @@ def word_symbols(watchlist: Sequence[str]) -> list[str]:
 
 
 def plain_symbols(watchlist: Sequence[str]) -> list[str]:
-    """The symbols that the strict patterns can find: up to five capitals."""
-    return sorted({symbol for symbol in watchlist if _PLAIN_SYMBOL.fullmatch(symbol)})
+    """The watch list for the strict patterns, which can only find symbols of up to five capitals."""
+    odd = sorted({symbol for symbol in watchlist if not _PLAIN_SYMBOL.fullmatch(symbol)})
+    if odd:
+        raise ValueError(f"symbols must be one to five capitals, or no strict pattern finds them: {odd}")
+    return sorted(set(watchlist))
 
 
 def extract_tickers(text: Column | str, watchlist: Sequence[str]) -> Column:

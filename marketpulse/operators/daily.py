@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from marketpulse.functions.times import day_of
 from marketpulse.operators.decode import valid_ticks
 from marketpulse.operators.sentiment import score_posts
-from marketpulse.operators.sizing import broadcast_when_small, settle
+from marketpulse.operators.sizing import at_newest
 
 
 def _dated(ticks: DataFrame) -> DataFrame:
@@ -24,22 +24,19 @@ def max_ts_daily(ticks: DataFrame) -> DataFrame:
 def last_price_daily(ticks: DataFrame) -> DataFrame:
     """(symbol, day, price_day_last), one row per key; of several ticks at the last instant the highest price counts.
 
-    One scan of three columns and one shuffle of at most one row per key and map task, however hot a symbol is.
+    Two hash aggregates, first of the time and then of the price at that time: a maximum of (time, price) pairs would
+    sort every tick. Each shuffles at most one row per key and map task, however hot a symbol is.
     """
-    latest = _dated(ticks).groupBy("symbol", "day").agg(F.max(F.struct("ingest_ts", "price")).alias("last"))
-    return latest.select("symbol", "day", F.col("last.price").alias("price_day_last"))
+    last = at_newest(_dated(ticks), ["symbol", "day"], "ingest_ts")
+    return last.groupBy("symbol", "day").agg(F.max("price").alias("price_day_last"))
 
 
 def last_price_ties(ticks: DataFrame) -> DataFrame:
     """Like `last_price_daily`, but every tick at the last instant gives a row, so keys may repeat.
 
-    The ticks are filtered in place against the (symbol, day) peaks, which are written once and broadcast if counted
-    small. A rank over (symbol, day) would bring all tied ticks of a hot symbol into one task; this never groups them.
-    Beyond the bound the join shuffles, and AQE splits what is skewed.
+    A rank over (symbol, day) would bring all tied ticks of a hot symbol into one task; this never groups them.
     """
-    dated = _dated(ticks)
-    peaks = settle(dated.groupBy("symbol", "day").agg(F.max("ingest_ts").alias("ingest_ts")))
-    last = dated.join(broadcast_when_small(peaks), ["symbol", "day", "ingest_ts"])
+    last = at_newest(_dated(ticks), ["symbol", "day"], "ingest_ts")
     return last.select("symbol", "day", F.col("price").alias("price_day_last"))
 
 

@@ -16,8 +16,13 @@ def decode_json(raw: DataFrame, schema: T.StructType, value: str = "value") -> D
 
 
 def decode_prices(raw: DataFrame, now: Column | None = None) -> DataFrame:
-    """Price messages to (symbol, price, ingest_ts, source); events without a symbol or a price are dropped."""
-    events = decode_json(raw, PRICE_EVENT).where(F.col("symbol").isNotNull() & F.col("price").isNotNull())
+    """Price messages to (symbol, price, ingest_ts, source); events without a symbol or a price are dropped.
+
+    JSON readers let NaN through, which is no price either.
+    """
+    events = decode_json(raw, PRICE_EVENT).where(
+        F.col("symbol").isNotNull() & F.col("price").isNotNull() & ~F.isnan("price")
+    )
     return events.select("symbol", "price", parse_ingest_ts("ingest_ts", now).alias("ingest_ts"), "source")
 
 
@@ -38,5 +43,9 @@ def decode_social(raw: DataFrame) -> DataFrame:
 
 
 def valid_ticks(ticks: DataFrame) -> DataFrame:
-    """Ticks with a symbol, a price and a time. Three plain null tests, which reach the Parquet scan; dropna() does not."""
-    return ticks.where(F.col("symbol").isNotNull() & F.col("price").isNotNull() & F.col("ingest_ts").isNotNull())
+    """Ticks with a symbol, a price that is a number, and a time.
+
+    The three plain null tests reach the Parquet scan, which dropna() would not. NaN would win over every real price.
+    """
+    present = F.col("symbol").isNotNull() & F.col("price").isNotNull() & F.col("ingest_ts").isNotNull()
+    return ticks.where(present & ~F.isnan("price"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from marketpulse.functions.numbers import ACTIVITY_STEPS, DATASET_AGE_STEPS, band
-from marketpulse.operators.sizing import broadcast_when_small, settle
+from marketpulse.operators.sizing import at_newest, broadcast_when_small, settle
 from marketpulse.sources.tables import read_table_or_none
 
 
@@ -32,8 +32,8 @@ def max_over(samples: DataFrame, value: str, name: str | None = None) -> DataFra
 
 def last_not_null(samples: DataFrame, labels: Sequence[str], value: str = "value", ts: str = "ts") -> DataFrame:
     """The newest value of each series that is not null; of several at one instant the highest."""
-    newest = samples.where(F.col(value).isNotNull()).groupBy(*labels).agg(F.max(F.struct(ts, value)).alias("last"))
-    return newest.select(*labels, F.col("last")[ts].alias(ts), F.col("last")[value].alias(value))
+    kept = samples.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).select(*labels, ts, value)
+    return at_newest(kept, labels, ts).groupBy(*labels, ts).agg(F.max(value).alias(value))
 
 
 def dataset_rows(spark: SparkSession, datasets: Mapping[str, str]) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketpulse.functions.texts import lexicon_term, tokens
-from marketpulse.operators.sizing import broadcast_when_small
+from marketpulse.operators.sizing import broadcast_when_small, repeated_keys
 
 # Fixed value: the normalisation constant of the published formula.
 ALPHA = 15.0
@@ -30,8 +30,12 @@ def score_posts(posts: DataFrame, keys: Sequence[str], lexicon: DataFrame, text:
     Tokens meet the lexicon in a broadcast join (its size is counted first; a larger one is joined by shuffle), and are
     summed up again before the only shuffle, so that carries one short row per post and not its text. `copies` counts
     the posts that are equal in both keys and text: a post stored twice still counts twice in an average, and a text
-    copied a million times arrives as one row per map task.
+    copied a million times arrives as one row per map task. A term that the lexicon holds twice is an error: it would
+    count the posts it occurs in twice, too.
     """
+    twice = repeated_keys(lexicon, ["term"]).limit(1).collect()
+    if twice:
+        raise ValueError(f"the lexicon holds a term more than once: {twice[0]['term']}")
     # Hashed before the explode: what stands next to it in one select would be computed again for every token.
     hashed = posts.select(*keys, F.unhex(F.sha2(text, 256)).alias("_text"), tokens(text).alias("_tokens"))
     pieces = hashed.select(*keys, "_text", F.posexplode_outer("_tokens").alias("_pos", "_token"))

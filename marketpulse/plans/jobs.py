@@ -1,7 +1,8 @@
 """The daily jobs, end to end. Every one is finite: repeating it is the caller's schedule.
 
 Days are recomputed whole, so a job may be limited to days from `since` on: the filter reaches the Parquet scan, and
-only those day folders are rewritten when the output is partitioned by day.
+only those day folders are replaced when the output is partitioned by day. Rows without a time belong to the group of no
+day, which every limited run recomputes, too.
 """
 
 from __future__ import annotations
@@ -16,13 +17,16 @@ from marketpulse.operators.daily import (
 from marketpulse.operators.mentions import mark_tickers
 from marketpulse.operators.signals import investment_signal, joined_daily_signal
 from marketpulse.operators.upsert import upsert
-from marketpulse.schemas import MENTION_SPEED, PRICE_SPEED
+from marketpulse.schemas import JOINED_DAILY, MENTION_SPEED, PRICE_DAILY, PRICE_SPEED, SOCIAL_DAILY
 from marketpulse.sources.jdbc import publish_jdbc
 from marketpulse.sources.tables import read_table, read_table_or_none, write_table
 
 
 def _since(table: DataFrame, column: str, since: str | None) -> DataFrame:
-    return table if since is None else table.where(F.col(column) >= F.lit(since).cast("date").cast("timestamp"))
+    if since is None:
+        return table
+    kind = table.schema[column].dataType
+    return table.where(F.col(column).isNull() | (F.col(column) >= F.lit(since).cast("date").cast(kind)))
 
 
 def _parts(since: str | None, by_day: bool) -> Sequence[str]:
@@ -37,7 +41,7 @@ def run_prices_daily(
     """Ticks to last price per symbol and day."""
     parts = _parts(since, by_day)
     ticks = _since(read_table(spark, ticks_path, PRICE_SPEED), "ingest_ts", since)
-    write_table(last_price_daily(ticks), out_path, parts)
+    write_table(last_price_daily(ticks), out_path, parts, since)
 
 
 def run_social_daily(
@@ -47,20 +51,22 @@ def run_social_daily(
     """Stored mentions to daily sentiment and counts."""
     parts = _parts(since, by_day)
     mentions = _since(read_table(spark, mentions_path, MENTION_SPEED), "created_ts", since)
-    write_table(social_daily_from_mentions(mentions, lexicon), out_path, parts)
+    write_table(social_daily_from_mentions(mentions, lexicon), out_path, parts, since)
 
 
 def run_joined_daily(
-    spark: SparkSession, prices_path: str, social_path: str, out_path: str, by_day: bool = False
+    spark: SparkSession, prices_path: str, social_path: str, out_path: str, since: str | None = None, by_day: bool = False
 ) -> None:
     """Both daily tables to the joined one."""
-    joined = joined_daily(read_table(spark, prices_path), read_table(spark, social_path))
-    write_table(joined, out_path, ["day"] if by_day else [])
+    parts = _parts(since, by_day)
+    prices = _since(read_table(spark, prices_path, PRICE_DAILY), "day", since)
+    social = _since(read_table(spark, social_path, SOCIAL_DAILY), "day", since)
+    write_table(joined_daily(prices, social), out_path, parts, since)
 
 
 def run_publish(spark: SparkSession, joined_path: str, url: str, target: str, properties: Mapping[str, str], **how) -> bool:
     """The joined table to the database; False when it has not been written yet."""
-    joined = read_table_or_none(spark, joined_path)
+    joined = read_table_or_none(spark, joined_path, schema=JOINED_DAILY)
     if joined is None:
         return False
     publish_jdbc(joined, url, target, properties, **how)

@@ -20,6 +20,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 _text, _real, _int, _long = T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType()
 _time, _date, _texts = T.TimestampType(), T.DateType(), T.ArrayType(T.StringType())
 
+# The fields of the feeds' messages.
 PRICE_EVENT = _struct(symbol=_text, price=_real, source=_text, ingest_ts=_text)
 
 POST_EVENT = _struct(
@@ -27,11 +28,7 @@ POST_EVENT = _struct(
     score=_int, num_comments=_int, permalink=_text,
 )
 
-MICROBLOG_EVENT = _struct(
-    source=_text, uri=_text, cid=_text, author_did=_text, author_handle=_text, text=_text, created_at=_text,
-    tickers=_texts, like_count=_long, repost_count=_long, reply_count=_long,
-)
-
+# The fields that are read of a forum's listing pages.
 LISTING = _struct(
     data=_struct(
         children=T.ArrayType(
@@ -45,9 +42,6 @@ LISTING = _struct(
     )
 )
 
-# Daily bars a quote source may return next to its snapshot fields.
-QUOTE_HISTORY = T.ArrayType(_struct(ts=_time, close=_real))
-
 PRICE_SPEED = _struct(symbol=_text, price=_real, ingest_ts=_time, source=_text)
 
 MENTION_SPEED = T.StructType(
@@ -60,6 +54,3 @@ MENTION_SPEED = T.StructType(
 PRICE_DAILY = _struct(symbol=_text, day=_date, price_day_last=_real)
 SOCIAL_DAILY = _struct(ticker=_text, day=_date, avg_sentiment=_real, mentions=_long)
 JOINED_DAILY = _struct(ticker=_text, day=_date, price_day_last=_real, avg_sentiment=_real, mentions=_long)
-
-LEXICON = _struct(term=_text, val10=_int)
-METRIC_SAMPLE = _struct(metric=_text, topic=_text, partition=_int, ts=_time, value=_real)

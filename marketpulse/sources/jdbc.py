@@ -26,7 +26,7 @@ def write_jdbc_staging(
 def swap_statements(
     target: str, staging: str, columns: Sequence[str], lock: str | None = POSTGRES_LOCK, clear: str = "TRUNCATE TABLE"
 ) -> list[str]:
-    """What the publishing transaction runs. The target is emptied, never dropped: views depend on it."""
+    """The publishing transaction: under the lock, rows leave and come, while table, views and grants stay."""
     names = ", ".join(columns)
     statements = [lock.format(target=target)] if lock else []
     return statements + [f"{clear} {target}", f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging}"]

@@ -29,32 +29,49 @@ def read_table_or_none(spark: SparkSession, path: str, **kwargs) -> DataFrame |
         raise
 
 
-def spread_small(df: DataFrame, max_bytes: int = 128 * 1024 * 1024) -> DataFrame:
-    """Deal the rows of a table smaller than one input split out to all cores; leave any larger table as it is.
+def _folder_files(spark: SparkSession, path: str) -> dict[str, frozenset[str]]:
+    """Partition folder name -> names of its files, for the folders right below `path`; empty where there is none."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    return {
+        folder.getPath().getName(): frozenset(file.getPath().getName() for file in fs.listStatus(folder.getPath()))
+        for folder in fs.listStatus(root)
+        if folder.isDirectory() and "=" in folder.getPath().getName()
+    }
 
-    A small file is often one row group, which one task reads alone. The bound is on the optimizer's size of the plan,
-    so the shuffle this adds never moves more than one split.
-    """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if df.isStreaming or size > max_bytes:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
+
+def _drop_folder(spark: SparkSession, path: str, name: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path, name)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a Parquet table. With `partition_by`, only the folders that `df` has rows for are replaced.
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), since: str | None = None) -> None:
+    """Replace a Parquet table whole, or, with `since`, only its folders from that value of the partition column on.
+
+    A limited run also drops the folders in its range that the new result has no row for; the folder of nulls is always
+    in range. They go after the new ones are written, so a run that fails in between leaves the old rows.
 
     Partitioned output is first gathered by its folders, so each day gets few large files; AQE splits a day that is too
     large for one.
     """
     if not partition_by:
+        if since is not None:
+            raise ValueError("`since` needs a partition column")
         df.write.mode("overwrite").parquet(path)
         return
+    spark = df.sparkSession
+    before = _folder_files(spark, path) if since is not None else {}
     (
         df.hint("rebalance", *partition_by)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if since is None else "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    after = _folder_files(spark, path) if since is not None else {}
+    for name, files in before.items():
+        value = name.split("=", 1)[1]
+        if after.get(name) == files and (value >= since or value == "__HIVE_DEFAULT_PARTITION__"):
+            _drop_folder(spark, path, name)

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from marketpulse.operators import daily, decode, health, mentions, sentiment, serving, signals, upsert
+from marketpulse.operators import daily, decode, health, mentions, sentiment, serving, signals, sizing, upsert
 from marketpulse.plans import jobs
 from marketpulse.schemas import JOINED_DAILY, POST_EVENT, PRICE_EVENT, PRICE_SPEED
 from marketpulse.sources import feeds, topics
@@ -218,7 +218,8 @@ def test_ties_beyond_the_broadcast_bound(spark, monkeypatch):
 
     table = ticks(spark, *[(s, float(i), ts(1 + i % 3, i % 2)) for s in "ABC" for i in range(30)])
     expected = bag(daily.last_price_ties(table))
-    monkeypatch.setattr(daily, "broadcast_when_small", lambda df: sizing.broadcast_when_small(df, max_rows=2))
+    bounded = sizing.broadcast_when_small
+    monkeypatch.setattr(sizing, "broadcast_when_small", lambda df: bounded(df, max_rows=2))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large = daily.last_price_ties(table)
@@ -338,7 +339,7 @@ def test_upsert_is_a_dictionary_update(spark, old, new):
     assert sorted(rows(once.select("ticker", "day", "mentions"))) == expected
     partial = upsert.upsert(table(old), table(new).drop("avg_sentiment"), ["ticker", "day"], {"avg_sentiment": 0.5})
     assert bag(partial) == bag(once)
-    assert not upsert.repeated_keys(once, ["ticker", "day"]).count()
+    assert not sizing.repeated_keys(once, ["ticker", "day"]).count()
 
 
 @relaxed

@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from marketpulse.catalog import QUERIES
+from marketpulse.oracle import ORACLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -35,15 +37,15 @@ def _same(a, b):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
     ours = sorted((tuple(row) for row in result.select(*columns).collect()), key=_key)
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     names = [column[0] for column in cursor.description]
     assert sorted(names) == columns
     order = [names.index(column) for column in columns]
@@ -61,5 +63,5 @@ def test_flagship_gives_rows(spark):
 
 
 def test_all_three_signals_occur(spark):
-    counts = {row[0]: row[1] for row in queries()["investment_signal"](spark, SF_DIR).groupBy("signal").count().collect()}
+    counts = {row[0]: row[1] for row in QUERIES["investment_signal"](spark, SF_DIR).groupBy("signal").count().collect()}
     assert set(counts) == {"BUY", "SELL", "HOLD"}

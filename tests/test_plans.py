@@ -5,9 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from marketpulse.catalog import QUERIES
 from marketpulse import fixtures as fx
-from marketpulse.operators import daily, decode, mentions, sentiment, signals
+from marketpulse.operators import daily, decode, health, mentions, sentiment, signals
 from marketpulse.plans import views
 from marketpulse.schemas import DEFAULT_WATCHLIST, PRICE_SPEED, SHORT_WATCHLIST
 from marketpulse.functions.texts import extract_cashtags, extract_tickers
@@ -20,9 +20,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     assert not [word for word in FORBIDDEN if word in text]
 
 
@@ -33,15 +33,22 @@ def stored_ticks(spark, tmp_path_factory):
     return path
 
 
-def test_last_price_scans_once_with_pushed_filters(spark, stored_ticks):
+def test_last_price_sorts_nothing_and_pushes_filters(spark, stored_ticks):
     text = plan(daily.last_price_daily(spark.read.schema(PRICE_SPEED).parquet(stored_ticks)))
-    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    assert "SortAggregate" not in text and "Sort [" not in text and "SortMergeJoin" not in text
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
     for column in ("symbol", "price", "ingest_ts"):
         assert f"IsNotNull({column})" in text
     assert "ReadSchema: struct<symbol:string,price:double,ingest_ts:timestamp>" in text
     assert text.index("partial_max") > text.index("Exchange"), "the partial aggregate runs before the shuffle"
 
 
+def test_last_value_sorts_nothing(spark, stored_ticks):
+    ticks = spark.read.schema(PRICE_SPEED).parquet(stored_ticks)
+    text = plan(health.last_not_null(ticks, ["symbol"], "price", "ingest_ts"))
+    assert "SortAggregate" not in text and "Sort [" not in text and text.count("FileScan") == 1
+
+
 def test_since_reaches_the_scan(spark, stored_ticks):
     table = spark.read.schema(PRICE_SPEED).parquet(stored_ticks)
     text = plan(daily.last_price_daily(table.where(F.col("ingest_ts") >= F.lit("2024-01-20").cast("timestamp"))))
@@ -87,13 +94,13 @@ def test_deltas_share_one_window(spark):
 
 def test_views_and_functions_for_sql(spark, tmp_path):
     path = str(tmp_path / "joined")
-    queries()["joined_daily"](spark, SF_DIR).write.parquet(path)
+    QUERIES["joined_daily"](spark, SF_DIR).write.parquet(path)
     views.register_views(spark.read.parquet(path), mentions_step=5)
     panel = spark.sql(
         "SELECT day, signal, mentions, avg_sentiment, price_day_last, mentions_delta, sentiment_delta, price_delta "
         "FROM investment_signal_daily WHERE ticker = 'THE' ORDER BY day DESC LIMIT 30"
     )
-    assert sorted(panel.collect(), key=str) == sorted(queries()["signal_last_30"](spark, SF_DIR).collect(), key=str)
+    assert sorted(panel.collect(), key=str) == sorted(QUERIES["signal_last_30"](spark, SF_DIR).collect(), key=str)
     assert "EqualTo(ticker,THE)" in plan(panel)
     assert spark.sql("SELECT count(*) FROM joined_daily_signal WHERE invest_signal IN (-1, 0, 1)").first()[0] == 366
 

@@ -116,30 +116,110 @@ def test_topic_options():
     }
 
 
+def test_bounded_batch_reads():
+    options = topics.topic_options("b:9092", "t", starting='{"t":{"0":7}}', ending="latest")
+    assert options["startingOffsets"] == '{"t":{"0":7}}' and options["endingOffsets"] == "latest"
+    with pytest.raises(ValueError, match="no end"):
+        topics.read_topic(None, "b:9092", "t", ending="latest")
+
+
+class Recorder:
+    """Stands in for a reader or writer: keeps what it is told and does nothing."""
+
+    def __init__(self):
+        self.said, self.done = {}, None
+
+    def format(self, kind):
+        self.said["format"] = kind
+        return self
+
+    def options(self, **options):
+        self.said.update(options)
+        return self
+
+    def option(self, key, value):
+        self.said[key] = value
+        return self
+
+    def save(self):
+        self.done = "save"
+
+    def start(self):
+        self.done = "start"
+
+    def load(self):
+        self.done = "load"
+        return self
+
+
+class Sent:
+    def __init__(self, streaming):
+        self.isStreaming, self.write, self.writeStream = streaming, Recorder(), Recorder()
+
+    def select(self, *_):
+        return self
+
+
+@pytest.mark.parametrize("streaming", [False, True])
+def test_write_topic_options(spark, monkeypatch, streaming):
+    events = Sent(streaming)
+    topics.write_topic(events, "b:9092", "out", checkpoint="/chk")
+    used = events.writeStream if streaming else events.write
+    assert used.done == ("start" if streaming else "save")
+    assert used.said["kafka.bootstrap.servers"] == "b:9092" and used.said["topic"] == "out" and used.said["format"] == "kafka"
+    assert used.said.get("checkpointLocation") == ("/chk" if streaming else None)
+
+
+def test_read_served_options():
+    session = type("Session", (), {})()
+    session.read = Recorder()
+    jdbc.read_served(session, "jdbc:x", "served", {"user": "u"}, day_bounds=("2024-01-01", "2024-02-01"), connections=4)
+    said = session.read.said
+    assert session.read.done == "load" and said["dbtable"] == "served" and said["user"] == "u"
+    assert (said["partitionColumn"], said["lowerBound"], said["upperBound"], said["numPartitions"]) == (
+        "day", "2024-01-01", "2024-02-01", "4"
+    )
+    session.read = Recorder()
+    jdbc.read_served(session, "jdbc:x", "served", {})
+    assert "partitionColumn" not in session.read.said and session.read.said["pushDownPredicate"] == "true"
+
+
+def test_run_until_any_ends(spark, tmp_path):
+    spark.streams.resetTerminated()
+    source = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    running = streams.start_append(source, str(tmp_path / "a"), str(tmp_path / "ca"))
+    ending = streams.start_append(source, str(tmp_path / "b"), str(tmp_path / "cb"), trigger=ONCE)
+    streams.run_until_any_ends(spark)
+    assert running.isActive and not ending.isActive
+    running.stop()
+    spark.streams.resetTerminated()
+
+
 # --- Parquet sinks and jobs
 
 
-def test_overwrite_by_day_leaves_other_days_alone(spark, tmp_path):
+def test_overwrite_by_day(spark, tmp_path):
     path = str(tmp_path / "t")
     day = lambda n: dt.date(2024, 1, n)
-    schema = "ticker string, v int, day date"
-    tables.write_table(spark.createDataFrame([("A", 1, day(1)), ("A", 2, day(2))], schema), path, ["day"])
-    tables.write_table(spark.createDataFrame([("A", 9, day(2))], schema), path, ["day"])
-    assert bag(spark.read.parquet(path)) == [("A", 1, day(1)), ("A", 9, day(2))]
+    put = lambda rows, **how: tables.write_table(
+        spark.createDataFrame(rows, "ticker string, v int, day date"), path, ["day"], **how
+    )
+    first = [("A", n, day(n)) for n in (1, 2, 3, 4)] + [("A", 0, None)]
+    put(first)
+    put([("A", 9, day(3))], since="2024-01-02")
+    assert bag(spark.read.parquet(path)) == [("A", 1, day(1)), ("A", 9, day(3))], "days in range that came out empty go"
+    put([("B", 5, None), ("B", 2, day(2))], since="2024-01-02")
+    assert bag(spark.read.parquet(path)) == bag(
+        spark.createDataFrame([("A", 1, day(1)), ("B", 2, day(2)), ("B", 5, None)], "ticker string, v int, day date")
+    )
+    put([("C", 1, day(4))])
+    assert bag(spark.read.parquet(path)) == [("C", 1, day(4))], "a full run leaves nothing of what was there"
     flat = str(tmp_path / "flat")
     tables.write_table(spark.range(5), flat)
     tables.write_table(spark.range(2), flat)
     assert spark.read.parquet(flat).count() == 2
 
 
-def test_spread_small_leaves_large_tables_alone(spark):
-    table = fx.table(spark, SF_DIR, "documents")
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "Repartition" in plan(tables.spread_small(table))
-    assert "Repartition" not in plan(tables.spread_small(table, max_bytes=1000))
-    assert bag(tables.spread_small(table)) == bag(table)
-
-
 def test_stored_jobs_equal_the_direct_composition(spark, tmp_path):
     lake = lambda name: str(tmp_path / name)
     ticks, posts = fx.price_ticks(spark, SF_DIR), fx.social_posts(spark, SF_DIR)
@@ -156,6 +236,11 @@ def test_stored_jobs_equal_the_direct_composition(spark, tmp_path):
     jobs.run_prices_daily(spark, lake("ticks"), lake("prices_by_day"), since="2024-01-20", by_day=True)
     jobs.run_social_daily(spark, lake("mentions"), lexicon, lake("social_by_day"), by_day=True)
     jobs.run_joined_daily(spark, lake("prices_by_day"), lake("social_by_day"), lake("joined_by_day"), by_day=True)
+    whole = bag(spark.read.parquet(lake("joined_by_day")))
+    jobs.run_joined_daily(
+        spark, lake("prices_by_day"), lake("social_by_day"), lake("joined_by_day"), since="2024-01-20", by_day=True
+    )
+    assert bag(spark.read.parquet(lake("joined_by_day"))) == whole
     by_day = spark.read.parquet(lake("joined_by_day"))
     assert bag(by_day.select("ticker", "day", "price_day_last", "avg_sentiment", "mentions")) == expected
     with pytest.raises(ValueError):
