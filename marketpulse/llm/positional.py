@@ -80,22 +80,26 @@ def postings(identified: DataFrame, terms: DataFrame, text: str) -> DataFrame:
 def intersect(lists: DataFrame, places: DataFrame, slop: int) -> DataFrame:
     """(_h1, _h2, phrase, start, exact, near): beginnings on which all rarest terms of a phrase agree.
 
-    The rarest term says where a phrase begins; the others may begin it up to `slop` places away for a near match.
+    The rarest term's postings say where phrases may begin, and only there the next terms' postings are asked for: at
+    their place for an exact match, up to `slop` places away for a near one. So work follows the rarest term's list, and
+    a word repeated all over a document is met once for each place that asks for it.
     """
-    placed = lists.join(broadcast_when_small(places), "term").select(
-        "_h1", "_h2", "phrase", "n_terms", "rank", (F.col("position") - F.col("offset")).alias("own")
-    )
-    around = F.when(F.col("rank") == 1, F.array("own")).otherwise(F.sequence(F.col("own") - slop, F.col("own") + slop))
-    spread = placed.select("*", F.explode(around).alias("start"))
-    agreed = spread.groupBy("_h1", "_h2", "phrase", "start").agg(
-        F.size(F.collect_set(F.when(F.col("own") == F.col("start"), F.col("rank")))).alias("same"),
-        F.size(F.collect_set("rank")).alias("close"),
-        F.max(F.col("rank") == 1).alias("anchored"),
-        F.first("n_terms").alias("n_terms"),
+    rarest = places.where("rank = 1").select("term", "phrase", "offset", "n_terms")
+    begun = settle(lists.join(broadcast_when_small(rarest), "term").select(
+        "_h1", "_h2", "phrase", "n_terms", (F.col("position") - F.col("offset")).alias("start")
+    ))
+    others = places.where("rank > 1").select("term", "phrase", "offset", "rank")
+    asked = begun.join(broadcast_when_small(others), "phrase").select(
+        "_h1", "_h2", "phrase", "start", "term", "rank", F.explode(F.sequence(F.lit(-slop), F.lit(slop))).alias("away"),
+        (F.col("start") + F.col("offset")).alias("_place"),
+    ).withColumn("position", F.col("_place") + F.col("away"))
+    met = asked.join(lists, ["_h1", "_h2", "term", "position"]).groupBy("_h1", "_h2", "phrase", "start").agg(
+        F.size(F.collect_set(F.when(F.col("away") == 0, F.col("rank")))).alias("same"), F.size(F.collect_set("rank")).alias("close")
     )
+    agreed = begun.distinct().join(met, ["_h1", "_h2", "phrase", "start"], "left").fillna({"same": 0, "close": 0})
     return agreed.select(
-        "_h1", "_h2", "phrase", "start", ((F.col("same") == F.col("n_terms")) & (F.col("start") >= 0)).alias("exact"),
-        (F.col("anchored") & (F.col("close") == F.col("n_terms"))).alias("near"),
+        "_h1", "_h2", "phrase", "start", ((F.col("same") == F.col("n_terms") - 1) & (F.col("start") >= 0)).alias("exact"),
+        (F.col("close") == F.col("n_terms") - 1).alias("near"),
     ).where("exact OR near")
 
 
