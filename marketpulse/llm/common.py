@@ -75,7 +75,7 @@ def labelled_sample(
         labels.where(~held_out(key)).select(F.col(key).alias("_id"), label.alias("label")).where("label IS NOT NULL")
         .groupBy("_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64(F.lit(1), "_id"), "_id").limit(rows)
     )
-    found = docs.join(F.broadcast(ids), F.col(key) == F.col("_id")).select(
+    found = docs.select(key, text).join(F.broadcast(ids), F.col(key) == F.col("_id")).select(
         F.xxhash64("_id", text).alias("_h"), F.coalesce(text, F.lit("")).alias("text"), "label"
     )
     last, held = None, 0

@@ -7,8 +7,8 @@ have to meet under all of them before they are verified on their whole sets.
 - Sets that are equal are one class, known by a 128-bit fingerprint; all further work is on classes.
 - Order 1 puts tokens that many sets hold last, as counted over all documents in a sketch of fixed size, and orders the
   rest by hash; what the sketch mixes up only moves a token within the order. Orders 2 and 3 are other hashes.
-- Postings of order 1 are grouped by token and size band. Every class is first compared with the smallest class of each
-  group only, which links large groups of near copies with few comparisons. Then, in groups that still hold different
+- Postings of order 1 are grouped by token and size band. Every class is first compared with a few classes only, those that
+  are the smallest of most of its groups, which links large groups of near copies with few comparisons. Then, in groups that still hold different
   components, the classes outside of a group's largest component are compared with all others of the group. Pairs inside
   one component are skipped: they cannot change a component. No pair between components is left out.
 - Components come from the smallest label spreading along links, with checkpoints between rounds.
@@ -34,6 +34,8 @@ from marketpulse.operators.sizing import broadcast_when_small
 ORDERS = 3
 # The sketch: so many counters, in blocks that are summed apart from one another.
 CELLS, BLOCKS = 1 << 24, 256
+# Classes that a class is compared with at first; any number gives the same components.
+LEADS = 3
 # Bytes of text that a task hashes at once, and the base of the polynomial: any odd number without a pattern.
 BUFFER_BYTES, BASE = 4 << 20, 0x9E3779B97F4A7C15
 
@@ -135,11 +137,6 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def index_length(size: int, percent: int) -> int:
-    """The same for the smaller set of a pair, which needs fewer."""
-    return size - -(-2 * percent * size // (100 + percent)) + 1
-
-
 def survey(docs: DataFrame, n: int, key: str, text: str) -> tuple[DataFrame, bytes]:
     """One pass over the texts: (key, c, n, h1, h2) for every document, and a bitmap over the sketch's cells.
 
@@ -202,7 +199,7 @@ def survey(docs: DataFrame, n: int, key: str, text: str) -> tuple[DataFrame, byt
             for packed in batch.column("counts"):
                 total += np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.uint16)
         mean = total.mean()
-        marked = total > mean + 6 * np.sqrt(mean) + 8
+        marked = total > mean + 3 * np.sqrt(mean) + 3
         yield pa.RecordBatch.from_arrays(
             [pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(marked).tobytes()])], names=["block", "bits"]
         )
@@ -314,12 +311,11 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
 
     # Postings: size bands are a factor of percent/100 apart, so sizes that allow a link are at most one band apart.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    short = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
-    posted = signatures.select("c", "n", band.alias("band"), short.cast("int").alias("short"), F.posexplode("first").alias("at", "token"))
+    posted = signatures.select("c", "n", band.alias("band"), F.posexplode("first").alias("at", "token"))
     of_token = Window.partitionBy("token")
     shared = settle(
         posted.select("*", F.count("*").over(of_token).alias("m")).where("m > 1").select(
-            "c", "n", "band", "token", (F.col("at") < F.col("short")).alias("indexed")
+            "c", "n", "band", "token", "at"
         )
     )
     # One text for each class that shares a token with another, found by the text's hashes.
@@ -329,9 +325,12 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
     texts = settle(hashed.join(broadcast_when_small(needed), ["h1", "h2"]).select("c", "t").dropDuplicates(["c"]))
 
     smallest = Window.partitionBy("token", "band")
-    star = shared.select("c", "n", F.min(F.struct("n", "c")).over(smallest).alias("p")).where(F.col("c") != F.col("p.c")).select(
-        F.col("p.c").alias("a"), F.col("c").alias("b"), F.col("p.n").alias("na"), "n"
-    ).where(alike("na", "n", percent)).select("a", "b").distinct()
+    led = shared.select("c", "n", F.min(F.struct("n", "c")).over(smallest).alias("p")).where(F.col("c") != F.col("p.c"))
+    named_leads = led.groupBy(F.col("p.c").alias("a"), F.col("c").alias("b"), F.col("p.n").alias("na"), "n").agg(F.count("*").alias("met"))
+    closest = Window.partitionBy("b").orderBy(F.desc("met"), "a")
+    star = named_leads.where(alike("na", "n", percent)).select("a", "b", F.row_number().over(closest).alias("k")).where(
+        F.col("k") <= LEADS
+    ).select("a", "b")
     links = verified(star, signatures, texts, n, percent)
     roots = components(links)
 
@@ -340,12 +339,12 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
     # Groups that hold more than one component, with the largest of them.
     mixed = settle(sizes.groupBy("token").agg(F.count("*").alias("roots"), F.max_by("root", "rows").alias("main")).where("roots > 1"))
     open_rows = settle(placed.join(mixed.select("token", "main"), "token"))
-    minor = open_rows.where("root <> main").select("token", F.col("c").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("indexed").alias("ix"))
-    every = open_rows.select("token", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("indexed").alias("iy"))
-    smaller_first = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
+    minor = open_rows.where("root <> main").select("token", F.col("c").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("at").alias("ix"))
+    every = open_rows.select("token", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("at").alias("iy"))
+    # All that two sets share stands from their first common token on, so that one leaves room for enough in both.
+    room = F.least(F.col("nx") - F.col("ix"), F.col("ny") - F.col("iy")).cast("bigint")
     met = minor.join(every, "token").where(
-        (F.col("rx") != F.col("ry")) & F.when(smaller_first, F.col("ix")).otherwise(F.col("iy"))
-        & (100 * F.least("nx", "ny").cast("bigint") >= percent * F.greatest("nx", "ny").cast("bigint"))
+        (F.col("rx") != F.col("ry")) & ((100 + percent) * room >= percent * (F.col("nx") + F.col("ny")).cast("bigint"))
     )
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     links = links.unionByName(verified(pairs, signatures, texts, n, percent))

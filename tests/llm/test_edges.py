@@ -21,7 +21,7 @@ from marketpulse.llm import (  # noqa: E402
 from marketpulse.llm.queries import GRADE, URL_RULES  # noqa: E402
 
 # Columns beyond doc_id and text carry names that the operators use themselves.
-DOCS = "doc_id bigint, text string, c string, n int, score double, _bucket string, ids string, shard int"
+DOCS = "doc_id bigint, text string, c string, n int, score double, _bucket string, ids string, shard int, label int"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -46,7 +46,7 @@ TEXTS = [
 
 
 def table(spark, rows=TEXTS):
-    return spark.createDataFrame([(k, t, "c", 1, 0.5, "b", "i", 3) for k, t in rows], DOCS)
+    return spark.createDataFrame([(k, t, "c", 1, 0.5, "b", "i", 3, 4) for k, t in rows], DOCS)
 
 
 @pytest.fixture(scope="module")
