@@ -130,68 +130,84 @@ def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def token_labels(texts: list[list[str]], labels) -> set[str]:
-    """Words that tell toxic from other documents, by smoothed log-odds of document counts."""
-    from collections import Counter
-    from math import log
-
-    toxic, other, n = Counter(), Counter(), [0, 0]
-    for words, label in zip(texts, labels):
-        (toxic if label else other).update(set(words))
-        n[int(label)] += 1
+def token_labels(numbers: list, labels, n_words: int):
+    """Whether each word tells toxic from other documents, by smoothed log-odds of document counts."""
+    import numpy as np
 
-    def log_odds(count: int, of: int) -> float:
-        return log((count + 0.5) / (of - count + 0.5))
+    labels = np.asarray(labels)
+    counts = np.zeros((2, n_words))
+    for words, label in zip(numbers, labels):
+        counts[int(label), np.unique(words)] += 1
+    of = np.array([(labels == 0).sum(), (labels == 1).sum()])[:, None]
+    odds = np.log((counts + 0.5) / (of - counts + 0.5))
+    return (counts[1] >= LEAST_DOCUMENTS) & (odds[1] - odds[0] >= LEAST_LOG_ODDS)
 
-    return {
-        word for word, count in toxic.items()
-        if count >= LEAST_DOCUMENTS and log_odds(count, n[1]) - log_odds(other[word], n[0]) >= LEAST_LOG_ODDS
-    }
 
+def batches_of(numbers: list, labels, is_toxic) -> list[tuple]:
+    """Documents as runs of at most BATCH_WORDS words or one document: what a step of the fit has in memory at once."""
+    import numpy as np
 
-def fit(texts: list[list[str]], labels, share: float) -> SpanModel:
-    """Maximum likelihood of the token labels by Adam; then a logistic calibration of the documents' evidence."""
+    runs_, held, size = [], [], 0
+    for d, words in enumerate(numbers):
+        if held and size + len(words) > BATCH_WORDS // 4:
+            runs_.append(held)
+            held, size = [], 0
+        held.append(d)
+        size += len(words)
+    out = []
+    for run in [*runs_, held] if held else runs_:
+        lengths = np.array([len(numbers[d]) for d in run])
+        if lengths.sum():
+            word = np.concatenate([numbers[d] for d in run])
+            owner = np.repeat(np.array(run, dtype=np.int32), lengths)
+            first = np.r_[True, owner[1:] != owner[:-1]]
+            out.append((word, owner, first, np.r_[first[1:], True], is_toxic[word] & (np.asarray(labels)[owner] == 1)))
+    return out
+
+
+def fit(numbers: list, labels, vocabulary: dict[str, int], share: float) -> SpanModel:
+    """Maximum likelihood of the token labels by Adam; then a logistic calibration of the documents' evidence.
+
+    `numbers` holds each document's words as numbers of the vocabulary. A step goes through the documents in batches and
+    adds up the gradient, so its memory does not follow the sample.
+    """
     import numpy as np
 
     nothing = SpanModel(np.zeros(DIMENSIONS), -4.0, np.zeros((2, 2)), np.array([-4.0, 0.0, 0.0]))
-    chosen = token_labels(texts, labels)
-    flat = [w for words in texts for w in words]
-    if not chosen or not flat:
+    is_toxic = token_labels(numbers, labels, len(vocabulary)) if vocabulary else np.zeros(0, dtype=bool)
+    if not is_toxic.any():
         return nothing
-    ids: dict[str, int] = {}
-    word = np.array([ids.setdefault(w, len(ids)) for w in flat])
-    features = np.array([feature_indices(w) for w in ids])
-    lengths = np.array([len(words) for words in texts])
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    first = np.r_[True, owner[1:] != owner[:-1]]
-    last = np.r_[first[1:], True]
-    is_toxic = np.array([w in chosen for w in ids])
-    y = (is_toxic[word] & (np.asarray(labels)[owner] == 1)).astype(float)
-    inner = np.flatnonzero(~first)
-    counts = np.zeros((2, 2))
-    np.add.at(counts, (y[inner - 1].astype(int), y[inner].astype(int)), 1)
-
+    features = np.array([feature_indices(w) for w in vocabulary], dtype=np.int32)
+    batches = batches_of(numbers, labels, is_toxic)
     params = np.concatenate([np.zeros(DIMENSIONS), [-4.0], np.zeros(4)])
     m, v = np.zeros_like(params), np.zeros_like(params)
     for t in range(1, ROUNDS + 1):
         weights, bias, transition = params[:DIMENSIONS], params[DIMENSIONS], params[-4:].reshape(2, 2)
-        potential = potentials(weights, bias, features, word, first, last)
-        p, forward, backward, matrices = marginals(potential, first, transition)
-        pair = forward[inner - 1, :, None] * matrices[inner] * backward[inner, None, :]
-        pair /= pair.sum(axis=(1, 2), keepdims=True)
-        error = y - p
-        own = np.bincount(word, weights=error, minlength=len(ids))
-        before = np.bincount(word[inner - 1], weights=error[inner], minlength=len(ids))
-        after = np.bincount(word[inner], weights=error[inner - 1], minlength=len(ids))
+        by_word, by_bias, by_pair = np.zeros((3, len(vocabulary))), 0.0, np.zeros((2, 2))
+        for word, _, first, last, toxic in batches:
+            p, forward, backward, matrices = marginals(potentials(weights, bias, features, word, first, last), first, transition)
+            inner = np.flatnonzero(~first)
+            pair = forward[inner - 1, :, None] * matrices[inner] * backward[inner, None, :]
+            pair /= pair.sum(axis=(1, 2), keepdims=True)
+            np.add.at(by_pair, (toxic[inner - 1].astype(int), toxic[inner].astype(int)), 1)
+            by_pair -= pair.sum(axis=0)
+            error = toxic - p
+            by_bias += error.sum()
+            by_word[0] += np.bincount(word, weights=error, minlength=len(vocabulary))
+            by_word[1] += np.bincount(word[inner - 1], weights=error[inner], minlength=len(vocabulary))
+            by_word[2] += np.bincount(word[inner], weights=error[inner - 1], minlength=len(vocabulary))
         by_weight = np.zeros(DIMENSIONS)
-        for column, g in ((0, own), (1, own), (2, own), (3, before), (4, after)):
-            by_weight += np.bincount(features[:, column], weights=g, minlength=DIMENSIONS)
-        gradient = np.concatenate([by_weight, [error.sum()], (counts - pair.sum(axis=0)).ravel()]) / len(texts) - RIDGE * params
+        for column, g in enumerate((0, 0, 0, 1, 2)):
+            by_weight += np.bincount(features[:, column], weights=by_word[g], minlength=DIMENSIONS)
+        gradient = np.concatenate([by_weight, [by_bias], by_pair.ravel()]) / len(numbers) - RIDGE * params
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         params = params + RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-6)
     weights, bias, transition = params[:DIMENSIONS], params[DIMENSIONS], params[-4:].reshape(2, 2)
-    p = marginals(potentials(weights, bias, features, word, first, last), first, transition)[0]
-    x = np.hstack([np.ones((len(texts), 1)), evidence(p, owner, len(texts))])
+    x = np.hstack([np.ones((len(numbers), 1)), evidence(np.zeros(0), np.zeros(0, dtype=int), len(numbers))])
+    for word, owner, first, last, _ in batches:
+        p = marginals(potentials(weights, bias, features, word, first, last), first, transition)[0]
+        own = np.unique(owner)
+        x[own, 1:] = evidence(p, np.searchsorted(own, owner), len(own))
     label = np.asarray(labels, dtype=float)
     # The sample holds both labels alike; the weights bring back the share that toxic documents have.
     weight = np.where(label == 1, share / max(label.mean(), 1e-9), (1 - share) / max(1 - label.mean(), 1e-9))
@@ -220,15 +236,19 @@ def train(
 ) -> SpanModel:
     import re
 
+    import numpy as np
+
     flag = F.when(F.col(label) > 0, 1).when(F.col(label) == 0, 0)
     counted = labels.where(~held_out(key)).agg(F.avg(flag).alias("share")).first()
-    texts, given = [], []
+    vocabulary: dict[str, int] = {}
+    numbers, given = [], []
     for value in (0, 1):
         only = F.when(flag == value, flag)
         for row in labelled_sample(docs, labels, only, sample_rows, sample_bytes, key, text).toLocalIterator():
-            texts.append(re.findall(WORD, row["text"].lower()))
+            words = re.findall(WORD, row["text"].lower())
+            numbers.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], dtype=np.int32))
             given.append(row["label"])
-    return fit(texts, given, counted["share"] or 0.0)
+    return fit(numbers, given, vocabulary, counted["share"] or 0.0)
 
 
 def score(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "text") -> DataFrame:
