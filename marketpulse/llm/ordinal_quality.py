@@ -178,13 +178,14 @@ def train(
 
 def score(docs: DataFrame, model: OrdinalModel, least: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, expected_grade, tail): the mean grade and the probability of a grade of at least `least`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: broadcasts are read back by name, and the workers may not have this library.
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
     def judge(batches: Iterable) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        model = shared.value
+        model = OrdinalModel(*shared.value)
         weights = model.weights
         cache: dict[str, float] = {}
 

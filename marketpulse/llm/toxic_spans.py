@@ -27,8 +27,8 @@ from marketpulse.llm.common import held_out, keyed_schema, labelled_sample
 
 DIMENSIONS = 1 << 16
 SAMPLE_ROWS, SAMPLE_BYTES = 1000, 5 << 20
-# A word is taken as toxic if it is in so many toxic training documents and its log-odds are so high.
-LEAST_DOCUMENTS, LEAST_LOG_ODDS = 4, 2.5
+# A word is taken as toxic if its log-odds are so high, and chance would bring up so few such words among all.
+LEAST_LOG_ODDS, BY_CHANCE = 2.5, 20
 ROUNDS, RATE, RIDGE = 40, 0.3, 1e-6
 # Words of one batch of messages, and words whose potentials a task keeps.
 BATCH_WORDS, CACHED = 400_000, 400_000
@@ -131,7 +131,10 @@ def sigmoid(z):
 
 
 def token_labels(numbers: list, labels, n_words: int):
-    """Whether each word tells toxic from other documents, by smoothed log-odds of document counts."""
+    """Whether each word tells toxic from other documents, by smoothed log-odds of document counts.
+
+    The counts must also be unlikely for a word that does not care, by Chernoff's bound times the number of words.
+    """
     import numpy as np
 
     labels = np.asarray(labels)
@@ -140,7 +143,13 @@ def token_labels(numbers: list, labels, n_words: int):
         counts[int(label), np.unique(words)] += 1
     of = np.array([(labels == 0).sum(), (labels == 1).sum()])[:, None]
     odds = np.log((counts + 0.5) / (of - counts + 0.5))
-    return (counts[1] >= LEAST_DOCUMENTS) & (odds[1] - odds[0] >= LEAST_LOG_ODDS)
+    share, n = of[1, 0] / max(of.sum(), 1), counts.sum(axis=0)
+    if not 0 < share < 1:
+        return np.zeros(n_words, dtype=bool)
+    q = counts[1] / np.maximum(n, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        surprise = n * (np.nan_to_num(q * np.log(q / share)) + np.nan_to_num((1 - q) * np.log((1 - q) / (1 - share))))
+    return (q > share) & (odds[1] - odds[0] >= LEAST_LOG_ODDS) & (surprise >= np.log(n_words / BY_CHANCE))
 
 
 def batches_of(numbers: list, labels, is_toxic) -> list[tuple]:
@@ -253,7 +262,8 @@ def train(
 
 def score(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score, spans): spans are (start, end, p) in characters of the text, p the largest marginal in the run."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: broadcasts are read back by name, and the workers may not have this library.
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.transition, model.calibration))
 
     def judge(batches: Iterable) -> Iterator:
         import re
@@ -261,7 +271,7 @@ def score(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "t
         import numpy as np
         import pyarrow as pa
 
-        model = shared.value
+        model = SpanModel(*shared.value)
         find, places = re.compile(WORD).findall, re.compile(WORD).finditer
         ids: dict[str, int] = {}
         features: list[tuple] = []
