@@ -63,26 +63,42 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def training_labels(labels: DataFrame, label: Column, key: str = "doc_id") -> DataFrame:
+    """(_id, label): the highest label of each id, without those that are held out or null."""
+    return labels.where(~held_out(key)).select(F.col(key).alias("_id"), label.alias("label")).where("label IS NOT NULL").groupBy(
+        "_id"
+    ).agg(F.max("label").alias("label"))
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: Column, rows: int, max_bytes: int, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(text, label): at most `rows` training documents of at most `max_bytes` together, in whole texts.
 
-    Labels that are held out or null are left out, and of several labels of one id the highest counts. The sample takes
-    the smallest hashes of the ids, so it is the same in every run and does not depend on partitions.
+    Labels that are held out or null are left out, of several labels of one id the highest counts, and rows equal in id
+    and text count once. Documents are taken by the hash of id and text, so the sample is the same in every run and does
+    not depend on partitions. One that does not fit the rest of the bytes is passed over, and others take its place. If
+    there are labelled documents and none fits, that is an error.
     """
-    ids = (
-        labels.where(~held_out(key)).select(F.col(key).alias("_id"), label.alias("label")).where("label IS NOT NULL")
-        .groupBy("_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64(F.lit(1), "_id"), "_id").limit(rows)
-    )
-    found = docs.select(key, text).join(F.broadcast(ids), F.col(key) == F.col("_id")).select(
-        F.xxhash64("_id", text).alias("_h"), F.coalesce(text, F.lit("")).alias("text"), "label"
-    )
-    last, held = None, 0
-    for row in found.select("_h", F.octet_length("text").alias("n")).orderBy("_h").limit(rows).collect():
-        held += row["n"]
-        if held > max_bytes:
+    spark = docs.sparkSession
+    ids = training_labels(labels, label, key)
+    hashed = docs.select(F.col(key).alias("_id"), F.xxhash64(key, text).alias("_h"), F.coalesce(text, F.lit("")).alias("text"))
+    # Ids, hashes and sizes are joined, not texts.
+    sized = settle(hashed.select("_id", "_h", F.octet_length("text").alias("n")).distinct().join(ids, "_id").select("_h", "n", "label"))
+    kept: list[tuple[int, int]] = []
+    last, left = None, max_bytes
+    while len(kept) < rows:
+        # What is too large now never fits later, so each page may leave it out.
+        page = sized.where((F.col("n") <= left) & (F.lit(True) if last is None else F.col("_h") > last))
+        page = page.orderBy("_h").limit(rows - len(kept)).collect()
+        if not page:
             break
-        last = row["_h"]
-    # Rows equal in id and text share a hash; the limit keeps the bound for them, too.
-    return found.where(F.col("_h") <= last if last is not None else F.lit(False)).select("text", "label").limit(rows)
+        for row in page:
+            last = row["_h"]
+            if row["n"] <= left:
+                kept.append((row["_h"], row["label"]))
+                left -= row["n"]
+    if not kept and rows and not sized.isEmpty():
+        raise ValueError(f"none of the labelled documents fits {max_bytes} bytes")
+    chosen = F.broadcast(spark.createDataFrame(kept, "_h bigint, label int"))
+    return hashed.join(chosen, "_h").select("_id", "text", "label").distinct().select("text", "label")

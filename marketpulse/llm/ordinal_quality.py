@@ -7,9 +7,10 @@ of at least `least`, by which it is selected.
 Features come from the whole text: every blank-separated token as its lower-cased letters and as its shape, averaged over
 the tokens, and a few bands (length, share of distinct tokens, equal lines, symbols). Neither ids nor other columns count.
 
-The model is fitted on a bounded sample of labelled rows (SAMPLE_ROWS, SAMPLE_BYTES) that leaves out the held-out third.
-Spark computes the sample's features and scores all documents in one pass without a shuffle. Null and empty texts have
-only their length band. Without labels the weights stay 0 and the start thresholds select every document.
+The model is fitted on a bounded sample of labelled rows (SAMPLE_ROWS, SAMPLE_BYTES) that leaves out the held-out third
+and passes over texts that do not fit it. Spark computes the sample's features and scores all documents in one pass without a shuffle. Null and empty texts have
+only their length band. Without labels the weights stay 0 and the start thresholds select every document; labels of which no
+document is there are an error.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from marketpulse.llm.common import keyed_schema, labelled_sample
+from marketpulse.llm.common import keyed_schema, labelled_sample, training_labels
 
 DIMENSIONS = 1 << 16
 SAMPLE_ROWS, SAMPLE_BYTES = 6000, 48 << 20
@@ -168,6 +169,8 @@ def train(
 
     sample = labelled_sample(docs, labels, F.expr(grade).cast("int"), sample_rows, sample_bytes, key, text)
     got = sample.mapInArrow(featurise, "label int, indices array<int>, values array<float>").toArrow()
+    if not len(got) and not training_labels(labels, F.expr(grade), key).isEmpty() and not docs.isEmpty():
+        raise ValueError("there are labels, but no labelled document to learn from")
     lengths = np.array(got["indices"].combine_chunks().value_lengths(), dtype=np.int64)
     return fit(
         np.repeat(np.arange(len(lengths)), lengths), np.asarray(got["indices"].combine_chunks().flatten()),

@@ -8,11 +8,13 @@ expected number of toxic words, and its spans are the runs of words whose margin
 Labels are given for documents, not for words. Token labels come from them: in a toxic training document, the words that
 are far more frequent in toxic than in other training documents are toxic; all others, and every word of the other
 documents, are not. The field is fitted on a bounded sample (SAMPLE_ROWS documents of each label, SAMPLE_BYTES for each)
-that leaves out the held-out third; the calibration is weighted to the labels' true shares.
+that leaves out the held-out third and passes over texts that do not fit it; the calibration is weighted to the labels'
+true shares.
 
 Spark scores all documents in one pass without a shuffle. Messages run over a whole batch of documents as one chain that
 forgets its state where a document begins, so the cost for each word does not depend on a text's length. Null and empty
-texts have no word and get the score of no evidence. Without toxic labels every score is that of no evidence.
+texts have no word and get the score of no evidence. Without toxic labels every score is that of no evidence; labels of
+both kinds of which one has no document to learn from are an error.
 """
 
 from __future__ import annotations
@@ -257,7 +259,10 @@ def train(
             words = re.findall(WORD, row["text"].lower())
             numbers.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], dtype=np.int32))
             given.append(row["label"])
-    return fit(numbers, given, vocabulary, counted["share"] or 0.0)
+    share = counted["share"] or 0.0
+    if 0 < share < 1 and len(set(given)) < 2 and not docs.isEmpty():
+        raise ValueError("there are labels of both kinds, but of one of them no document to learn from")
+    return fit(numbers, given, vocabulary, share)
 
 
 def score(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import sys
+import zlib
 
 import public_tokenizers
 import pytest
@@ -15,7 +16,7 @@ import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
 
 from marketpulse.llm import (  # noqa: E402
-    byte_bpe, jaccard_join, ordinal_quality, perspectives, positional, quality_votes, sharding, token_counts, toxic_spans,
+    byte_bpe, common, jaccard_join, ordinal_quality, perspectives, positional, quality_votes, sharding, token_counts, toxic_spans,
     url_rules,
 )
 from marketpulse.llm.queries import GRADE, URL_RULES  # noqa: E402
@@ -278,6 +279,45 @@ def test_toxic_spans(spark, docs):
     assert all(r["score"] < 0.1 for r in toxic_spans.score(frame, nothing).collect())
 
 
+def test_large_labelled_texts_are_passed_over(spark):
+    """Texts beyond the bytes of a sample, and repeated rows, leave the others to learn from."""
+    rows, labels = labelled(spark)
+    frame = table(spark, [(k, (t + " ") * 400 if k % 10 in (0, 3) else t) for k, t in rows] + rows[:40])
+    model = toxic_spans.train(frame, labels, sample_bytes=15_000)
+    assert model.weights.any()
+    got = {r["doc_id"]: r["score"] for r in toxic_spans.score(frame, model).collect()}
+    assert all((got[k] >= 0.7) == (k % 5 == 0) for k in got if k % 10 not in (0, 3))
+    assert ordinal_quality.train(frame, labels, GRADE, 3, sample_bytes=15_000).weights.any()
+
+
+def test_samples_take_each_document_once_within_their_bounds(spark):
+    rows, labels = labelled(spark)
+    own = {k for k, _ in rows if zlib.crc32(str(k).encode()) % 3 != 1}
+    frame = table(spark, [*rows, *rows, (None, "no id")])
+    flag = toxic_spans.F.col("toxic")
+    whole = common.labelled_sample(frame, labels, flag, 1000, 1 << 20).collect()
+    assert pairs(r["text"] for r in whole) == pairs(t for k, t in rows if k in own)
+    some = [r["text"] for r in common.labelled_sample(frame.repartition(5), labels, flag, 1000, 5000).collect()]
+    least = min(len(t) for k, t in rows if k in own and t not in some)
+    assert sum(map(len, some)) <= 5000 < sum(map(len, some)) + least
+    assert common.labelled_sample(frame, labels, flag, 7, 1 << 20).count() == 7
+
+
+def test_samples_without_a_document_are_refused(spark):
+    rows, labels = labelled(spark)
+    frame = table(spark, rows)
+    with pytest.raises(ValueError, match="fits"):
+        toxic_spans.train(frame, labels, sample_bytes=100)
+    with pytest.raises(ValueError, match="fits"):
+        ordinal_quality.train(frame, labels, GRADE, 3, sample_bytes=100)
+    with pytest.raises(ValueError, match="both kinds"):
+        toxic_spans.train(frame.where("doc_id % 5 > 0"), labels)
+    with pytest.raises(ValueError, match="no labelled document"):
+        ordinal_quality.train(frame.withColumn("doc_id", frame["doc_id"] + 1000), labels, GRADE, 3)
+    toxic_spans.train(frame.limit(0), labels)
+    ordinal_quality.train(frame.limit(0), labels, GRADE, 3)
+
+
 def test_messages_equal_enumeration():
     """Marginals of short chains against a sum over all taggings."""
     import itertools
