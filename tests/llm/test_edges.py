@@ -234,6 +234,33 @@ def test_perspectives(spark):
     assert perspectives.rotate(turns.limit(0)).count() == 0
 
 
+def test_over_full_parts_are_cut(spark):
+    """No number, no conversation, one repeated turn, one repeated row: pieces are bounded and read as the whole part."""
+    rows = [(1, None, "ann", f"a{i}") for i in range(57)] + [(1, 3, "bob", "b")] + [(1, 700, "ann", "late"), (2, 0, "ann", "x")]
+    rows += [(None, i % 8, r, f"n{i % 9}") for i in range(101) for r in ("ann", None, "system")] + [(3, 5, "cy", "same")] * 95
+    rows += [(3, 5, None, None)] * 3 + [(3, 6, "di", "end"), (3, 300, "di", None)] + [(3, 600, "di", str(i)) for i in range(25)]
+    schema = "conv_id int, turn int, role string, text string"
+    turns = spark.createDataFrame(rows, schema).repartition(5)
+    whole, cut = {}, {}
+    for out, bound in ((whole, 1000), (cut, 10)):
+        for r in sorted(perspectives.rotate(turns, rows_per_part=bound).collect(), key=lambda r: r["part"]):
+            assert r["n_turns"] <= bound
+            out.setdefault((r["conv_id"], r["participant"]), []).append(r)
+    assert set(whole) == set(cut)
+    for key, parts in cut.items():
+        assert len({r["part"] for r in parts}) == len(parts)
+        assert "".join(r["text"] for r in parts) == "".join(r["text"] for r in whole[key])
+        masked = [[r["text"][m["start"] : m["end"]] for r in rows for m in r["mask"]] for rows in (parts, whole[key])]
+        assert masked[0] == masked[1]
+    assert [r["part"] for r in cut[1, "ann"]] == [-1, 0, 1, 2, 3, 4, 5, 7]
+    assert [r["part"] for r in cut[2, "ann"]] == [0]
+    assert [r["n_turns"] for r in cut[3, "di"]] == [10] * 9 + [9, 1, 10, 10, 5]
+    again = perspectives.rotate(turns.repartition(2), rows_per_part=10).collect()
+    assert pairs(again) == pairs(r for parts in cut.values() for r in parts)
+    hot = spark.createDataFrame([(None, None, "ann", "x")] * (perspectives.ROWS_PER_PART + 1), schema)
+    assert max(r["n_turns"] for r in perspectives.rotate(hot).collect()) <= perspectives.ROWS_PER_PART
+
+
 LABELS = "doc_id bigint, quality int, toxic int, text string"
 
 
