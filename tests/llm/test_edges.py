@@ -69,6 +69,21 @@ def test_sharding(spark, docs):
     assert sharding.shuffle_shards(docs.limit(0), 5).count() == 0
 
 
+def test_copies_of_one_record_are_spread_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES_PER_RUN", 100)
+    rows = [(1, "same text")] * 1005 + [(i, prose(i, 3)) for i in range(2, 500)] + [(None, None)] * 1500
+    frame = table(spark, rows).repartition(4)
+    docs = frame.withColumn("_n", frame["n"])
+    sizes, held = [], sharding.bucket_sizes
+    monkeypatch.setattr(sharding, "bucket_sizes", lambda *a: sizes.append(held(*a)) or sizes[-1])
+    got = sharding.shuffle_shards(docs, 7, bucket_bytes=2000).collect()
+    assert max(size for _, size in sizes[0].values()) > 10_000 and max(size for _, size in sizes[-1].values()) < 4000
+    assert pairs((r["doc_id"], r["text"]) for r in got) == pairs(rows)
+    slots = [sorted(r["slot"] for r in got if r["shard"] == s) for s in range(7)]
+    assert all(s == list(range(len(s))) for s in slots) and max(map(len, slots)) - min(map(len, slots)) <= 1
+    assert pairs(sharding.shuffle_shards(docs.repartition(9), 7, bucket_bytes=2000).collect()) == pairs(got)
+
+
 def test_shards_are_written_in_order(spark, docs, tmp_path):
     plain = docs.select("doc_id", "text")
     sharding.write_shards(sharding.shuffle_shards(plain, 3), str(tmp_path / "shards"))
