@@ -1,4 +1,6 @@
-"""Exact Jaccard join on word n-grams, filtered by prefixes under several global orders.
+"""Exact components of the Jaccard join on word n-grams, filtered by prefixes under several global orders.
+
+The result is each document's component and set size, not the join's pairs: links inside a component are not all found.
 
 Two sets can only be as similar as asked if their prefixes meet, whichever total order of the tokens the prefixes are
 taken under (prefix filtering; Chaudhuri, Ganti and Kaushik, 2006). Each further order is one more condition, so pairs
