@@ -9,16 +9,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 # A run of letters, digits and underscores: what a whole-word match means for Unicode text. Written out as classes
-# because `\b` and `\w` differ between Java releases.
-WORD = r"[\p{L}\p{N}_]+"
+# because `\b` and `\w` differ between Java releases; plain letters come first, since asking for a property is slow.
+WORD = r"[A-Za-z0-9_[\x{80}-\x{10FFFF}&&[\p{L}\p{N}]]]+"
 
 # Fixed value: a cashtag is a dollar sign and up to five capitals; nothing is asked of the character after it.
 CASHTAG = r"\$([A-Z]{1,5})"
 _PLAIN_SYMBOL = re.compile(r"[A-Z]{1,5}")
 
 # Letters whose capital form has more than one character. A whole-word match compares character by character, so these
-# match nothing, and must not turn into a ticker when upper-cased.
-WIDENING = "[" + "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if len(c.upper()) > 1) + "]"
+# match nothing, and must not turn into a ticker when upper-cased: a letter that is its own capital takes their place. That
+# is a table look-up for each character; a class of a pattern would try letter after letter.
+WIDE_LETTERS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if len(c.upper()) > 1)
+OWN_CAPITALS = "ẞ" * len(WIDE_LETTERS)
+WIDENING = f"[{WIDE_LETTERS}]"
 
 # White space as Unicode defines it, and the separator controls that Python's str.split() adds. Asking for the property
 # is twice as fast as listing the characters.
@@ -67,7 +70,9 @@ def extract_tickers(text: Column | str, watchlist: Sequence[str]) -> Column:
     not grow with the length of the watch list, as an alternation of all symbols would.
     """
     symbols = word_symbols(watchlist)
-    words = F.regexp_extract_all(F.upper(F.regexp_replace(_col(text), WIDENING, "ẞ")), F.lit(WORD), F.lit(0))
+    text = _col(text)
+    plain = F.when(F.octet_length(text) == F.length(text), text).otherwise(F.translate(text, WIDE_LETTERS, OWN_CAPITALS))
+    words = F.regexp_extract_all(F.upper(plain), F.lit(WORD), F.lit(0))
     return F.coalesce(F.sort_array(F.array_intersect(words, _texts(symbols))), _texts([]))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketpulse.functions.texts import CASHTAG, WIDENING, WORD, plain_symbols, word_symbols
+from marketpulse.functions.texts import CASHTAG, OWN_CAPITALS, WIDE_LETTERS, WORD, plain_symbols, word_symbols
 from marketpulse.operators.signals import investment_signal, joined_daily_signal
 
 
@@ -26,7 +26,8 @@ def _sql_list(values: Sequence[str]) -> str:
 
 def register_functions(spark: SparkSession, watchlist: Sequence[str]) -> None:
     """extract_tickers(text) and extract_cashtags(text) for SQL. They are expanded into the query, with no Python."""
-    words = f"regexp_extract_all(upper(regexp_replace(body, r'{WIDENING}', 'ẞ')), r'{WORD}', 0)"
+    plain = f"if(octet_length(body) = length(body), body, translate(body, '{WIDE_LETTERS}', '{OWN_CAPITALS}'))"
+    words = f"regexp_extract_all(upper({plain}), r'{WORD}', 0)"
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION extract_tickers(body STRING) RETURNS ARRAY<STRING> RETURN "
         f"coalesce(sort_array(array_intersect({words}, {_sql_list(word_symbols(watchlist))})), {_sql_list([])})"
