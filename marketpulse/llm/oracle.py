@@ -162,7 +162,71 @@ FROM f
 """
 
 
+_TRIE = """
+WITH z AS (
+  SELECT list(v ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1))) AS v FROM range(256) r(i))
+), t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), l AS (
+  SELECT conv_id, own, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''),
+           lambda x: ord(x)::BIGINT)), lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT conv_id, max(place) AS own FROM t GROUP BY conv_id), z
+), c AS (
+  SELECT l.conv_id, l.own, l.h, f.conv_id AS first, least(l.h, coalesce(f.own, 0)) AS taken
+  FROM l LEFT JOIN l f ON f.conv_id = l.conv_id - l.conv_id % 5
+), r AS (
+  SELECT conv_id, place - h + taken AS depth, role, text FROM t JOIN c USING (conv_id) WHERE place > h
+  UNION ALL SELECT c.conv_id, t.place, role, text FROM c JOIN t ON t.conv_id = c.first AND t.place <= c.taken
+), p AS (
+  SELECT conv_id, depth, strlen(text) AS bytes,
+         string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS node FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), n AS (
+  SELECT node, depth, min(conv_id) AS low, count(*) AS n_convs, any_value(bytes) AS bytes FROM p GROUP BY node, depth
+), k AS (
+  SELECT left(node, length(node) - 64) AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1
+), w AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (node)
+), s AS (
+  SELECT left(node, 64 * d) AS node, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM w) GROUP BY 1
+), e AS (
+  SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM p JOIN c USING (conv_id)
+  WHERE depth = taken + greatest(own - h, 0) GROUP BY node
+)
+SELECT w.low AS conv_id, w.depth, u.low AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM w JOIN s USING (node) LEFT JOIN e USING (node) LEFT JOIN n u ON w.depth > 0 AND u.node = left(w.node, length(w.node) - 64)
+"""
+
+_HARD_NEGATIVES = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), a AS (
+  SELECT * FROM e WHERE vec_id % 100 = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, list_inner_product(a.v, e.v)::BIGINT AS score
+  FROM a JOIN e ON a.vec_id <> e.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op2_perspectives": _PERSPECTIVES, "op4_url_rules": _URL_RULES, "op6_quality_votes": _quality_sql(),
     "op7_jaccard_join": _COMPONENTS, "op10_positional": _CONTAMINATION,
+    "op11_prefix_trie": _TRIE, "op12_hard_negatives": _HARD_NEGATIVES,
 }

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketpulse.llm import (
-    byte_bpe, jaccard_join, ordinal_quality, perspectives, positional, quality_votes, sharding, token_counts, toxic_spans,
-    url_rules,
+    byte_bpe, hard_negatives, jaccard_join, ordinal_quality, perspectives, positional, prefix_trie, quality_votes, sharding, simhash,
+    token_counts, toxic_spans, url_rules,
 )
 from marketpulse.llm.common import held_out, table
 
@@ -113,10 +113,24 @@ def op10_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.link_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ordinal_quality, op2_perspectives, op3_sharding, op4_url_rules, op5_token_counts, op6_quality_votes,
-        op7_jaccard_join, op8_toxic_spans, op9_byte_bpe, op10_positional,
+        op7_jaccard_join, op8_toxic_spans, op9_byte_bpe, op10_positional, op11_prefix_trie, op12_hard_negatives, op13_simhash,
     )
 }
