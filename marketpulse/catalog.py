@@ -10,10 +10,12 @@ from marketpulse import fixtures as fx
 from marketpulse.functions.numbers import first_price, last_close, quote_price
 from marketpulse.functions.texts import extract_cashtags, extract_tickers, full_text
 from marketpulse.functions.times import day_of, epoch_to_ts, parse_ingest_ts
-from marketpulse.operators import daily, decode, health, mentions, sentiment, serving, signals, sizing
-from marketpulse.plans import health_report, jobs
+from marketpulse.operators import daily, decode, health, mentions, seen, sentiment, serving, signals, sizing
+from marketpulse.plans import health_report, jobs, views
+from marketpulse.schemas import PRICE_SPEED
 from marketpulse.session import pin_utc
-from marketpulse.sources import feeds, tables, topics
+from marketpulse.sources import feeds, footers, tables, topics
+from marketpulse.streaming import increments, jobs as streaming_jobs, listening, replay, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -394,3 +396,192 @@ def feed_health(spark, sf):
     )
     # Partition rates are added up in no fixed order.
     return report.withColumn("rate", F.round("rate", 9))
+
+
+# --- runs of streams, with a stop and a new start in between
+
+
+@_query
+def stream_prices(spark, sf):
+    """Messages come in two lots; each is worked through by a run of its own from the same checkpoint."""
+    lake = fx.scratch(spark)
+    messages = fx.price_json(spark, sf)
+    for lot in (0, 1):
+        messages.where(F.crc32("value") % 2 == lot).write.mode("append").parquet(f"{lake}/raw")
+        replay.store_prices(spark, f"{lake}/raw", f"{lake}/ticks", f"{lake}/checkpoint", fx.now())
+    ticks = tables.read_table(spark, f"{lake}/ticks", PRICE_SPEED)
+    return ticks.select("symbol", "price", _plain("ingest_ts"), "source")
+
+
+DEDUPE_DELAY = "10 days"
+
+
+@_query
+def stream_dedupe(spark, sf):
+    """Half of the posts, then all of them: known ones are dropped, and so are those that the watermark has passed."""
+    lake = fx.scratch(spark)
+    posts = fx.reposted_at_once(spark, sf).select("subreddit", "id", F.col("ingest_ts").alias("seen_at"), "num_comments")
+    reports = []
+    for lot in (posts.where("num_comments % 2 = 0"), posts):
+        lot.write.mode("append").parquet(f"{lake}/posts")
+        feed = spark.readStream.schema(posts.schema).parquet(f"{lake}/posts").drop("num_comments")
+        reports += replay.store_new_posts(feed, f"{lake}/kept", f"{lake}/checkpoint", mentions.POST_KEY, DEDUPE_DELAY, "seen_at")
+    kept = tables.read_table(spark, f"{lake}/kept", posts.drop("num_comments").schema)
+    return kept.select("subreddit", "id", _plain("seen_at"), F.lit(replay.late_rows(reports)).cast("bigint").alias("late_rows"))
+
+
+@_query
+def dedupe_across_runs(spark, sf):
+    """Two thirds of the posts, and later all of them again: the second run stores the ones it has not got."""
+    lake = fx.scratch(spark)
+    posts = fx.reposted(spark, sf)
+    known = F.substring("id", 2, 20).cast("bigint") % 3 > 0
+    for run, lot in ((1, posts.where(known)), (2, posts)):
+        seen.store_unseen(spark, lot.withColumn("run", F.lit(run)), f"{lake}/posts", f"{lake}/keys")
+    return tables.read_table(spark, f"{lake}/posts").select("subreddit", "id", _plain("ingest_ts"), "text", "run")
+
+
+@_query
+def stream_upsert(spark, sf):
+    """Daily prices, the same a day later, and corrected ones of one ticker: three batches into a table by key."""
+    lake = fx.scratch(spark)
+    prices = sizing.settle(_prices(spark, sf).withColumnRenamed("symbol", "ticker"))
+    changes = [
+        prices, prices.withColumn("day", F.date_add("day", 1)),
+        prices.where(F.col("ticker") == TICKER).withColumn("price_day_last", F.col("price_day_last") + 1),
+    ]
+    schema = prices.withColumn("batch_no", F.lit(0)).schema
+    for number, change in enumerate(changes):
+        change.withColumn("batch_no", F.lit(number)).select(schema.fieldNames()).write.mode("append").parquet(f"{lake}/changes")
+        feed = spark.readStream.schema(schema).parquet(f"{lake}/changes")
+        replay.finish(store.start_upsert(feed, f"{lake}/table", f"{lake}/checkpoint", schema, ["ticker", "day"], "batch_no", replay.ALL_THERE_IS))
+    return store.read_days(spark, f"{lake}/table", schema).select("ticker", "day", "price_day_last")
+
+
+@_query
+def stream_merge_feeds(spark, sf):
+    """Two producers with a watermark each, one of them without a source of its own, as one stored feed."""
+    lake = fx.scratch(spark)
+    ticks = fx.price_ticks(spark, sf)
+    other = ticks.drop("source")
+    for name, lot in (("first", ticks), ("second", other)):
+        lot.write.parquet(f"{lake}/{name}")
+    producers = [spark.readStream.schema(lot.schema).parquet(f"{lake}/{name}") for name, lot in (("first", ticks), ("second", other))]
+    merged = replay.merged_stream(producers, "ingest_ts", ["1 hour", "2 days"])
+    replay.finish(streaming_jobs.start_append(merged, f"{lake}/merged", f"{lake}/checkpoint", trigger=replay.ALL_THERE_IS))
+    return tables.read_table(spark, f"{lake}/merged", ticks.schema).select("symbol", "price", "source", _plain("ingest_ts"))
+
+
+def _in_lots(rows, path, lots=3):
+    """Write rows as three lots, one after another; what follows each lot runs in between."""
+    lot_of = F.pmod(F.xxhash64(*rows.columns), F.lit(lots))
+    for lot in range(lots):
+        rows.where(lot_of == lot).write.mode("append").parquet(path)
+        yield lot
+
+
+@_query
+def increment_prices(spark, sf):
+    lake = fx.scratch(spark)
+    ticks = fx.price_ticks(spark, sf).select(PRICE_SPEED.fieldNames())
+    for _ in _in_lots(ticks, f"{lake}/ticks"):
+        replay.finish(increments.start_prices_daily(spark, f"{lake}/ticks", f"{lake}/daily", f"{lake}/checkpoint", replay.ALL_THERE_IS))
+    return increments.read_prices_daily(spark, f"{lake}/daily")
+
+
+@_query
+def increment_social(spark, sf):
+    lake = fx.scratch(spark)
+    rows = mentions.explode_mentions(fx.social_posts(spark, sf), fx.WATCHLIST, fx.now())
+    for _ in _in_lots(rows, f"{lake}/mentions"):
+        replay.finish(increments.start_social_daily(
+            spark, f"{lake}/mentions", fx.lexicon(spark), f"{lake}/daily", f"{lake}/checkpoint", replay.ALL_THERE_IS
+        ))
+    return increments.read_social_daily(spark, f"{lake}/daily")
+
+
+def _offset_samples(spark, sf):
+    """Samples of a run over four lots of messages, each of eight days, taken by a listener and appended to a table."""
+    lake = fx.scratch(spark)
+    rows = fx.messages(spark, sf)
+    places = [tuple(row) for row in rows.select("topic", "partition").distinct().orderBy("topic", "partition").collect()]
+    for lot in range(4):
+        rows.where(F.least(F.expr("(day(ts) - 1) div 8"), F.lit(3)) == lot).write.mode("append").parquet(f"{lake}/messages")
+        feed = listening.observe_offsets(spark.readStream.schema(rows.schema).parquet(f"{lake}/messages"), places, "ts")
+        with listening.listening(spark) as listener:
+            replay.finish(streaming_jobs.start_append(feed, f"{lake}/stored", f"{lake}/checkpoint", replay.ALL_THERE_IS))
+        listener.append_to(spark, f"{lake}/samples")
+    return tables.read_table(spark, f"{lake}/samples", listening.SAMPLES)
+
+
+@_query
+def sampled_end_offsets(spark, sf):
+    return listening.sampled_end_offsets(_offset_samples(spark, sf))
+
+
+SAMPLED_WINDOW = 12 * fx.DAY_SECONDS
+
+
+@_query
+def sampled_offset_rate(spark, sf):
+    samples = listening.offset_samples(_offset_samples(spark, sf))
+    rates = health.counter_rate(samples, ["topic", "partition"], SAMPLED_WINDOW)
+    return rates.select("topic", "partition", _plain("ts"), "value", "rate")
+
+
+# --- storage layouts and metadata
+
+
+def _joined_on_buckets(spark, sf):
+    lake = fx.scratch(spark)
+    sides = {"prices": _prices(spark, sf).withColumnRenamed("symbol", "ticker"), "social": _social(spark, sf)}
+    names = {side: tables.write_bucketed(rows, f"{lake}/{side}", ["ticker"], ["day"], 8) for side, rows in sides.items()}
+    session = tables.bucket_session(spark)
+    return daily.joined_daily(session.table(names["prices"]), session.table(names["social"]))
+
+
+@_query
+def bucketed_signals(spark, sf):
+    return signals.investment_signal(_joined_on_buckets(spark, sf), mentions_step=MENTIONS_STEP)
+
+
+@_query
+def bucketed_returns(spark, sf):
+    return signals.daily_return(_joined_on_buckets(spark, sf)).select("ticker", "day", _plain("time"), "daily_return")
+
+
+@_query
+def footer_stats(spark, sf):
+    return footers.footer_stats(spark, f"{sf}/events.parquet", ["event_id", "user_id", "value"])
+
+
+@_query
+def footer_rows(spark, sf):
+    return footers.footer_rows(spark, _datasets(sf))
+
+
+@_query
+def footer_newest_by_day(spark, sf):
+    """Ticks stored by day with their time as a whole number, whose bounds footers hold."""
+    path = f"{fx.scratch(spark)}/ticks"
+    stored = fx.price_ticks(spark, sf).select(F.unix_micros("ingest_ts").alias("ingest_us"), day_of("ingest_ts").alias("day"))
+    tables.write_table(stored, path, ["day"])
+    found = footers.footer_stats(spark, path, ["ingest_us"], ["day"])
+    return found.select("day", "rows", F.timestamp_micros("max_ingest_us").cast("timestamp_ntz").alias("newest"))
+
+
+@_query
+def file_health(spark, sf):
+    """Files of events stored by type, seen 400 seconds after the newest was written."""
+    path = f"{fx.scratch(spark)}/events"
+    fx.events(spark, sf).select("event_id", "event_type").repartition("event_type").write.partitionBy("event_type").parquet(path)
+    later = F.lit(footers.newest_file(spark, path).first()["modified"]) + F.expr("INTERVAL 400 SECONDS")
+    report = health.freshness_band(footers.file_report(spark, path, later))
+    return report.groupBy("folder", "band").agg(F.count("*").alias("files"), F.sum("rows").alias("rows"))
+
+
+@_query
+def sql_signal_last_30(spark, sf):
+    views.register_views(_joined(spark, sf), mentions_step=MENTIONS_STEP)
+    views.register_lookups(spark)
+    return spark.sql(f"SELECT * FROM signal_last_days('{TICKER}', 30)")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from marketpulse.session import ensure_checkpoint_dir
 from marketpulse.sources.tables import read_table
 from marketpulse.sources.topics import encode_json
 
@@ -21,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors reach."""
+    return f"{ensure_checkpoint_dir(spark)}/run-{uuid4().hex}"
+
+
 def now() -> Column:
     return F.lit(NOW).cast("timestamp")
 
@@ -85,6 +93,12 @@ def reposted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.unionByName(seen).unionByName(posts.withColumn("ingest_ts", again))
 
 
+def reposted_at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All posts, polled twice at the instant they were written."""
+    seen = social_posts(spark, sf_dir).withColumn("ingest_ts", F.timestamp_seconds("created_utc"))
+    return seen.unionByName(seen)
+
+
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts as pages of a forum listing. A page holds one run of 100 doc_ids of a forum, so never more than 100 posts.
 

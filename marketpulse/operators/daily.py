@@ -10,7 +10,8 @@ from marketpulse.operators.sentiment import score_posts
 from marketpulse.operators.sizing import at_newest
 
 
-def _dated(ticks: DataFrame) -> DataFrame:
+def dated_ticks(ticks: DataFrame) -> DataFrame:
+    """Valid ticks with their day."""
     # Does nothing to a timestamp; reads a table that stores its times as text.
     timed = ticks.withColumn("ingest_ts", F.col("ingest_ts").try_cast("timestamp"))
     return valid_ticks(timed).withColumn("day", day_of("ingest_ts"))
@@ -18,7 +19,7 @@ def _dated(ticks: DataFrame) -> DataFrame:
 
 def max_ts_daily(ticks: DataFrame) -> DataFrame:
     """(symbol, day, max_ingest_ts): the time of the last valid tick."""
-    return _dated(ticks).groupBy("symbol", "day").agg(F.max("ingest_ts").alias("max_ingest_ts"))
+    return dated_ticks(ticks).groupBy("symbol", "day").agg(F.max("ingest_ts").alias("max_ingest_ts"))
 
 
 def last_price_daily(ticks: DataFrame) -> DataFrame:
@@ -27,7 +28,7 @@ def last_price_daily(ticks: DataFrame) -> DataFrame:
     Two hash aggregates, first of the time and then of the price at that time: a maximum of (time, price) pairs would
     sort every tick. Each shuffles at most one row per key and map task, however hot a symbol is.
     """
-    last = at_newest(_dated(ticks), ["symbol", "day"], "ingest_ts")
+    last = at_newest(dated_ticks(ticks), ["symbol", "day"], "ingest_ts")
     return last.groupBy("symbol", "day").agg(F.max("price").alias("price_day_last"))
 
 
@@ -36,23 +37,21 @@ def last_price_ties(ticks: DataFrame) -> DataFrame:
 
     A rank over (symbol, day) would bring all tied ticks of a hot symbol into one task; this never groups them.
     """
-    last = at_newest(_dated(ticks), ["symbol", "day"], "ingest_ts")
+    last = at_newest(dated_ticks(ticks), ["symbol", "day"], "ingest_ts")
     return last.select("symbol", "day", F.col("price").alias("price_day_last"))
 
 
+def sum_and_count(scored: DataFrame) -> DataFrame:
+    """(ticker, day, sum_e4, mentions): what an average is made of; rows of several runs can be added up."""
+    return scored.groupBy("ticker", "day").agg(
+        F.sum(F.col("sentiment_e4") * F.col("copies")).alias("sum_e4"), F.sum("copies").alias("mentions")
+    )
+
+
 def daily_average(scored: DataFrame) -> DataFrame:
     """(ticker, day, avg_sentiment, mentions) from rows of (ticker, day, copies, sentiment_e4). A null day is a group."""
-    return (
-        scored.groupBy("ticker", "day")
-        .agg(
-            F.sum(F.col("sentiment_e4") * F.col("copies")).alias("_sum_e4"),
-            F.sum("copies").alias("mentions"),
-        )
-        .select(
-            "ticker", "day",
-            (F.col("_sum_e4") / F.lit(10000.0) / F.col("mentions")).alias("avg_sentiment"),
-            "mentions",
-        )
+    return sum_and_count(scored).select(
+        "ticker", "day", (F.col("sum_e4") / F.lit(10000.0) / F.col("mentions")).alias("avg_sentiment"), "mentions"
     )
 
 

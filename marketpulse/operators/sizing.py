@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,6 +19,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settle_as_table(df: DataFrame) -> DataFrame:
+    """Like `settle`, but as Parquet files: the planner knows their size and can filter and prune what it reads of them."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/settled-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_when_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df` with a broadcast hint if it has been counted to be small, else unchanged for a shuffled join.
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from marketpulse.functions.texts import CASHTAG, OWN_CAPITALS, WIDE_LETTERS, WORD, plain_symbols, word_symbols
+from marketpulse.operators.serving import DEFAULT_DAYS, MAX_DAYS, MIN_DAYS
 from marketpulse.operators.signals import investment_signal, joined_daily_signal
 
 
@@ -37,3 +38,30 @@ def register_functions(spark: SparkSession, watchlist: Sequence[str]) -> None:
         "CREATE OR REPLACE TEMPORARY FUNCTION extract_cashtags(body STRING) RETURNS ARRAY<STRING> RETURN "
         f"coalesce(sort_array(array_intersect({found}, {_sql_list(plain_symbols(watchlist))})), {_sql_list([])})"
     )
+
+
+# Lookups for SQL: name -> (view, columns and types). Each takes a ticker and a number of days.
+_LOOKUPS = {
+    "signal_last_days": (
+        "investment_signal_daily",
+        "day DATE, signal STRING, mentions BIGINT, avg_sentiment DOUBLE, price_day_last DOUBLE, mentions_delta DOUBLE, "
+        "sentiment_delta DOUBLE, price_delta DOUBLE",
+    ),
+    "prices_last_days": ("joined_daily", "day DATE, price_day_last DOUBLE"),
+    "mentions_last_days": ("joined_daily", "day DATE, mentions BIGINT"),
+}
+
+
+def register_lookups(spark: SparkSession) -> None:
+    """signal_last_days(symbol, n), prices_last_days(symbol, n) and mentions_last_days(symbol, n) as table functions.
+
+    They read the views of `register_views` and give the newest n days of one ticker, n between 1 and 365, 30 unless
+    given. The ticker reaches the scan like a filter on the view.
+    """
+    for name, (view, columns) in _LOOKUPS.items():
+        names = ", ".join(column.split()[0] for column in columns.split(", "))
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(symbol STRING, n INT DEFAULT {DEFAULT_DAYS}) RETURNS TABLE ({columns}) RETURN "
+            f"SELECT {names} FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY day DESC) AS nth FROM {view}) "
+            f"WHERE ticker = {name}.symbol AND nth <= greatest({MIN_DAYS}, least({name}.n, {MAX_DAYS}))"
+        )

@@ -42,6 +42,7 @@ LISTING = _struct(
     )
 )
 
+# The columns of the stored tables.
 PRICE_SPEED = _struct(symbol=_text, price=_real, ingest_ts=_time, source=_text)
 
 MENTION_SPEED = T.StructType(
@@ -54,3 +55,7 @@ MENTION_SPEED = T.StructType(
 PRICE_DAILY = _struct(symbol=_text, day=_date, price_day_last=_real)
 SOCIAL_DAILY = _struct(ticker=_text, day=_date, avg_sentiment=_real, mentions=_long)
 JOINED_DAILY = _struct(ticker=_text, day=_date, price_day_last=_real, avg_sentiment=_real, mentions=_long)
+
+# What increments keep for a key, which can be merged: the newest time with its price; a sum of scores and a count.
+LAST_PRICES = _struct(symbol=_text, ingest_ts=_time, price=_real, day=_date)
+MENTION_SUMS = _struct(ticker=_text, sum_e4=_long, mentions=_long, day=_date)
