@@ -286,7 +286,7 @@ def score(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "t
             features.append(feature_indices(word.lower()))
             return i
 
-        def flush(keys: list, texts: list[str], words: list[list[int]]):
+        def flush(keys: Any, texts: list[str], words: list[list[int]]):
             lengths = np.array([len(w) for w in words])
             owner = np.repeat(np.arange(len(words)), lengths)
             spans: list[list[dict]] = [[] for _ in words]
@@ -304,32 +304,31 @@ def score(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "t
                 p = np.zeros(0)
             x = np.hstack([np.ones((len(words), 1)), evidence(p, owner, len(words))])
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys, kind), pa.array(sigmoid(x @ model.calibration)), pa.array(spans, span_type)],
+                [keys, pa.array(sigmoid(x @ model.calibration)), pa.array(spans, span_type)],
                 names=[key, "score", "spans"],
             )
 
         span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
         for batch in batches:
-            kind = batch.schema.field(0).type
-            keys, texts, words, n = [], [], [], 0
-            for one, content in zip(batch.column(0), batch.column(1)):
+            # Keys stay as they are, whatever columns they have: rows of a batch are judged in runs.
+            begin, texts, words, n = 0, [], [], 0
+            for content in batch.column(1):
                 content = content.as_py() or ""
                 found = find(content)
-                if len(ids) > CACHED and not keys:
+                if len(ids) > CACHED and not texts:
                     ids.clear()
                     features.clear()
                 numbers = list(map(ids.get, found))
                 if None in numbers:
                     numbers = [ids[w] if w in ids else number(w) for w in found]
-                keys.append(one.as_py())
                 texts.append(content)
                 words.append(numbers)
                 n += len(numbers)
                 if n >= BATCH_WORDS:
-                    yield flush(keys, texts, words)
-                    keys, texts, words, n = [], [], [], 0
-            if keys:
-                yield flush(keys, texts, words)
+                    yield flush(batch.column(0).slice(begin, len(texts)), texts, words)
+                    begin, texts, words, n = begin + len(texts), [], [], 0
+            if texts:
+                yield flush(batch.column(0).slice(begin, len(texts)), texts, words)
 
     return docs.select(key, text).mapInArrow(
         judge, keyed_schema(docs, key, "score double, spans array<struct<start:int,end:int,p:double>>")

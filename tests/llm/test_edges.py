@@ -149,7 +149,10 @@ def test_bpe_of_odd_characters(spark):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     draw = random.Random(4)
     letters = [chr(c) for c in [*range(0x250), 0x301, 0x3A3, 0x4E2D, 0x1F600, 0x2028, 0x3000]]
-    texts = [t for _, t in TEXTS if len(t or "") < 1000] + ["".join(draw.choices(letters, k=40)) for _ in range(200)]
+    texts = [t for _, t in TEXTS] + ["".join(draw.choices(letters, k=40)) for _ in range(200)]
+    # Long pieces: runs, repeated pairs that overlap, and letters without order; and what the table of words keeps apart.
+    texts += ["ab" * 5000, "aaab" * 777, "".join(draw.choices("aab", k=3000)), "".join(draw.choices("etaoin", k=2000)), " " * 3000 + "x", "é" * 900]
+    texts += ["a\x00b \x01c a\x00b \x01c", "\x01", "\x00\x00 \x01\x01"] * 2
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     encoded = byte_bpe.encode(frame, RANKS, public_tokenizers.PATTERN)
     rows = encoded.select("doc_id", "ids", byte_bpe.decode(encoded["ids"], RANKS).alias("bytes")).collect()
