@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketpulse.llm import byte_bpe, jaccard_join, ordinal_quality, positional, toxic_spans
-from marketpulse.llm.common import table
+from marketpulse.llm.common import settle, table
 from marketpulse.llm.queries import GRADE, GRADES, LEAST_GRADE, LEAST_TAIL, TOXIC_SCORE, bpe_digest
+from marketpulse.operators.sizing import broadcast_when_small
 from marketpulse.session import ensure_checkpoint_dir
 
 # Near copies: five-word shingles and a similarity of 0.8 and more.
@@ -23,15 +24,18 @@ def whole_rows(docs: DataFrame) -> DataFrame:
 
 
 def good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose probability of a sufficient grade reaches the threshold."""
-    model = ordinal_quality.train(docs, table(spark, sf_dir, "labels"), GRADE, GRADES)
+    """Documents whose probability of a sufficient grade reaches the threshold.
+
+    Models learn from the whole table of documents, whatever the stages before have kept.
+    """
+    model = ordinal_quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), GRADE, GRADES)
     scored = ordinal_quality.score(whole_rows(docs), model, LEAST_GRADE, key="_row")
     return scored.where(F.col("tail") >= LEAST_TAIL).select("_row.*")
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
-    model = toxic_spans.train(docs, table(spark, sf_dir, "labels"))
+    model = toxic_spans.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxic_spans.score(whole_rows(docs), model, key="_row").where(F.col("score") < TOXIC_SCORE).select("_row.*")
 
 
@@ -44,8 +48,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     low = F.lit(-(1 << 63)).cast("bigint")
     keyed = docs.withColumn("_key", F.struct(F.coalesce("doc_id", low).alias("id"), F.xxhash64(*columns).alias("h")))
     linked = jaccard_join.link_documents(keyed, COPY_WORDS, COPY_PERCENT, key="_key")
-    stay = linked.where(F.col("component_id") == F.col("_key")).select("_key").distinct()
-    return keyed.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(*columns)
+    stay = settle(linked.where(F.col("component_id") == F.col("_key")).groupBy("_key").agg(F.count("*").alias("_rows")))
+    kept = keyed.join(broadcast_when_small(stay), "_key")
+    # Only rows that are there more than once are brought together.
+    once, more = kept.where("_rows = 1"), kept.where("_rows > 1").dropDuplicates(["_key"])
+    return once.unionByName(more).select(*columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
