@@ -34,7 +34,7 @@ from marketpulse.llm.common import bind, settle
 PATTERN_PREFIX = "(?U)"
 # Words that are looked up: their number, the bytes of the longest, and of all together. Ids take as much again or less,
 # and seven times as much if no byte of a word merges.
-FREQUENT_WORDS, WORD_BYTES, TABLE_BYTES = 1 << 19, 64, 8 << 20
+FREQUENT_WORDS, WORD_BYTES, TABLE_BYTES = 1 << 20, 64, 16 << 20
 # Bytes from which on all pairs of a rank are merged in one step.
 LONG_PIECE = 64
 # Entries of a small map, and words of a slot of the table, on average.
