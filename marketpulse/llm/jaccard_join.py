@@ -9,10 +9,14 @@ have to meet under all of them before they are verified on their whole sets.
 - Sets that are equal are one class, known by a 128-bit fingerprint; all further work is on classes.
 - Order 1 puts tokens that many sets hold last, as counted over all documents in a sketch of fixed size, and orders the
   rest by hash; what the sketch mixes up only moves a token within the order. Orders 2 and 3 are other hashes.
-- Postings of order 1 are grouped by token and size band. Every class is first compared with a few classes only, those that
-  are the smallest of most of its groups, which links large groups of near copies with few comparisons. Then, in groups that still hold different
-  components, the classes outside of a group's largest component are compared with all others of the group. Pairs inside
-  one component are skipped: they cannot change a component. No pair between components is left out.
+- Classes that have a token of their prefix under order 1, or one of their very first tokens under order 2 or 3, in common
+  form groups. In rounds, each component of a group sends one member, and all are compared with one of them, so a large
+  group of near copies takes few comparisons.
+- At last, in groups of a prefix token of order 1 that still hold different components, the classes outside of a group's
+  largest component are compared with all others of the group. Pairs inside one component are skipped: they cannot change
+  a component. No pair between components is left out.
+- Sizes, the place of the common token and bitmaps of all tokens are compared in the join itself, so pairs that cannot be
+  alike never become rows; then prefixes under the other orders must meet.
 - Components come from the smallest label spreading along links, with checkpoints between rounds.
 
 Words are blank-separated after A-Z are lower-cased. A document of fewer than `n` words is one n-gram of its own; null
@@ -36,8 +40,9 @@ from marketpulse.operators.sizing import broadcast_when_small
 ORDERS = 3
 # The sketch: so many counters, in blocks that are summed apart from one another.
 CELLS, BLOCKS = 1 << 24, 256
-# Classes that a class is compared with at first; any number gives the same components.
-LEADS = 3
+# Words of 64 bits of a class's bitmap, in which each token flips a bit; tokens of each other order that make groups at
+# first; and the share of the links so far that a round must find for another one. Any numbers give the same components.
+BITMAP, KEYS, WORTH = 4, 2, 0.1
 # Bytes of text that a task hashes at once, and the base of the polynomial: any odd number without a pattern.
 BUFFER_BYTES, BASE = 4 << 20, 0x9E3779B97F4A7C15
 
@@ -215,7 +220,8 @@ def survey(docs: DataFrame, n: int, key: str, text: str) -> tuple[DataFrame, byt
 
 
 def prefixes(docs: DataFrame, n: int, percent: int, text: str, frequent: Any) -> DataFrame:
-    """(c, n, first, others): each class's prefix under order 1, and under the other orders as arrays of 32-bit numbers.
+    """(c, n, first, others, bits): each class's prefix under order 1, under the other orders as arrays of 32-bit numbers,
+    and a bitmap in which every token of the set flips one bit.
 
     A class comes once from each task that holds a document of it.
     """
@@ -227,7 +233,7 @@ def prefixes(docs: DataFrame, n: int, percent: int, text: str, frequent: Any) ->
         marked = np.frombuffer(frequent.value, dtype=np.uint8)
         seen: set[bytes] = set()
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for tokens in shingles(batch.column(0)):
                 c = fingerprint(tokens)
                 if not len(tokens) or c in seen:
@@ -244,18 +250,23 @@ def prefixes(docs: DataFrame, n: int, percent: int, text: str, frequent: Any) ->
                 out[3].append([
                     np.sort(mix(tokens, 101 + k))[:size].astype(np.uint32).view(np.int32) for k in range(1, ORDERS)
                 ])
+                flips = np.bincount((mix(tokens, 202) % np.uint64(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP) & 1
+                out[4].append(np.packbits(flips.astype(np.uint8)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.binary()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.list_(pa.int64())),
-                 pa.array(out[3], pa.list_(pa.list_(pa.int32())))],
-                names=["c", "n", "first", "others"],
+                 pa.array(out[3], pa.list_(pa.list_(pa.int32()))), pa.array(out[4], pa.list_(pa.int64()))],
+                names=["c", "n", "first", "others", "bits"],
             )
 
-    return docs.select(text).mapInArrow(cut, "c binary, n int, first array<bigint>, others array<array<int>>")
+    return docs.select(text).mapInArrow(cut, "c binary, n int, first array<bigint>, others array<array<int>>, bits array<bigint>")
 
 
-def alike(left: str, right: str, percent: int) -> Column:
-    """Whether sizes allow the similarity; `left` is not larger."""
-    return 100 * F.col(left).cast("bigint") >= percent * F.col(right).cast("bigint")
+def maps_allow(left: tuple[str, str], right: tuple[str, str], percent: int) -> Column:
+    """Whether (size, bitmap) of two classes allow the similarity: each bit that differs is a token that one of them lacks."""
+    (nx, bx), (ny, by) = (tuple(map(F.col, side)) for side in (left, right))
+    apart = sum((F.bit_count(bx[k].bitwiseXOR(by[k])) for k in range(1, BITMAP)), F.bit_count(bx[0].bitwiseXOR(by[0])))
+    # Of nx + ny tokens, percent in 100 + percent at least are there twice over; the others only once.
+    return (100 + percent) * apart.cast("bigint") <= (100 - percent) * (nx + ny).cast("bigint")
 
 
 def verified(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -311,13 +322,11 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
     frequent = spark.sparkContext.broadcast(bitmap)
     signatures = settle(prefixes(docs, n, percent, text, frequent).dropDuplicates(["c"]))
 
-    # Postings: size bands are a factor of percent/100 apart, so sizes that allow a link are at most one band apart.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
-    posted = signatures.select("c", "n", band.alias("band"), F.posexplode("first").alias("at", "token"))
+    posted = signatures.select("c", "n", F.posexplode("first").alias("at", "token"))
     of_token = Window.partitionBy("token")
     shared = settle(
         posted.select("*", F.count("*").over(of_token).alias("m")).where("m > 1").select(
-            "c", "n", "band", "token", "at"
+            "c", "n", "token", "at"
         )
     )
     # One text for each class that shares a token with another, found by the text's hashes.
@@ -326,29 +335,43 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
     hashed = docs.select(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"), F.col(text).alias("t"))
     texts = settle(hashed.join(broadcast_when_small(needed), ["h1", "h2"]).select("c", "t").dropDuplicates(["c"]))
 
-    smallest = Window.partitionBy("token", "band")
-    led = shared.select("c", "n", F.min(F.struct("n", "c")).over(smallest).alias("p")).where(F.col("c") != F.col("p.c"))
-    named_leads = led.groupBy(F.col("p.c").alias("a"), F.col("c").alias("b"), F.col("p.n").alias("na"), "n").agg(F.count("*").alias("met"))
-    closest = Window.partitionBy("b").orderBy(F.desc("met"), "a")
-    star = named_leads.where(alike("na", "n", percent)).select("a", "b", F.row_number().over(closest).alias("k")).where(
-        F.col("k") <= LEADS
-    ).select("a", "b")
-    links = verified(star, signatures, texts, n, percent)
-    roots = components(links)
-
-    placed = shared.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    sizes = placed.groupBy("token", "root").agg(F.count("*").alias("rows"))
-    # Groups that hold more than one component, with the largest of them.
-    mixed = settle(sizes.groupBy("token").agg(F.count("*").alias("roots"), F.max_by("root", "rows").alias("main")).where("roots > 1"))
-    open_rows = settle(placed.join(mixed.select("token", "main"), "token"))
-    minor = open_rows.where("root <> main").select("token", F.col("c").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("at").alias("ix"))
-    every = open_rows.select("token", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("at").alias("iy"))
+    # Rounds over groups of classes that have a token of their prefixes in common: each component of a group sends one member,
+    # another one in each round, and one of these is compared with the rest. The first round takes order 1, where copies
+    # meet in many groups, and the next ones the first tokens of the other orders.
+    by_order = signatures.select("c", "n", "bits", F.posexplode("others").alias("order", "tokens"))
+    keyed = by_order.select("c", "n", "bits", "order", F.explode(F.slice("tokens", 1, KEYS).cast("array<bigint>")).alias("key"))
+    whole = signatures.select("c", "n", "bits", F.lit(-1).alias("order"), F.explode("first").alias("key"))
+    nothing = spark.createDataFrame([], "a binary, b binary")
+    links, roots, turn = nothing, components(nothing), 0
+    while True:
+        placed = (keyed if turn % 2 else whole).join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+        member = F.struct(F.xxhash64(F.lit(turn), "c").alias("turn"), "c", "n", "bits")
+        sent = placed.groupBy("order", "key", "root").agg(F.min(member).alias("x"))
+        heads = sent.groupBy("order", "key").agg(F.count("*").alias("roots"), F.min(F.struct("x", "root")).alias("y")).where("roots > 1")
+        met = sent.join(heads, ["order", "key"]).where(
+            (F.col("root") != F.col("y.root")) & maps_allow(("x.n", "x.bits"), ("y.x.n", "y.x.bits"), percent)
+        )
+        tried = settle(met.select(F.least("x.c", "y.x.c").alias("a"), F.greatest("x.c", "y.x.c").alias("b")).distinct())
+        found = verified(tried, signatures, texts, n, percent)
+        links, turn = links.unionByName(found), turn + 1
+        roots = components(links)
+        if found.count() <= WORTH * links.count():
+            break
+
+    # What is left: in groups of order 1 that still hold several components, all outside of the largest with all others.
+    held = shared.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    sizes = held.groupBy("token", "root").agg(F.count("*").alias("rows"))
+    mixed = sizes.groupBy("token").agg(F.count("*").alias("roots"), F.max_by("root", "rows").alias("main")).where("roots > 1")
+    rows = settle(held.join(mixed.select("token", "main"), "token").join(signatures.select("c", "bits"), "c"))
+    named_as = lambda side: [F.col(c).alias(f"{side}_{c}") for c in ("c", "n", "at", "root", "bits")]
+    minor, every = rows.where("root <> main").select("token", *named_as("x")), rows.select("token", *named_as("y"))
     # All that two sets share stands from their first common token on, so that one leaves room for enough in both.
-    room = F.least(F.col("nx") - F.col("ix"), F.col("ny") - F.col("iy")).cast("bigint")
+    room = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")).cast("bigint")
     met = minor.join(every, "token").where(
-        (F.col("rx") != F.col("ry")) & ((100 + percent) * room >= percent * (F.col("nx") + F.col("ny")).cast("bigint"))
+        (F.col("x_root") != F.col("y_root")) & ((100 + percent) * room >= percent * (F.col("x_n") + F.col("y_n")).cast("bigint"))
+        & maps_allow(("x_n", "x_bits"), ("y_n", "y_bits"), percent)
     )
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = met.select(F.least("x_c", "y_c").alias("a"), F.greatest("x_c", "y_c").alias("b")).distinct()
     links = links.unionByName(verified(pairs, signatures, texts, n, percent))
     roots = components(links)
 
