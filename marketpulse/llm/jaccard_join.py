@@ -338,20 +338,26 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
     # Rounds over groups of classes that have a token of their prefixes in common: each component of a group sends one member,
     # another one in each round, and one of these is compared with the rest. The first round takes order 1, where copies
     # meet in many groups, and the next ones the first tokens of the other orders.
-    by_order = signatures.select("c", "n", "bits", F.posexplode("others").alias("order", "tokens"))
-    keyed = by_order.select("c", "n", "bits", "order", F.explode(F.slice("tokens", 1, KEYS).cast("array<bigint>")).alias("key"))
-    whole = signatures.select("c", "n", "bits", F.lit(-1).alias("order"), F.explode("first").alias("key"))
+    keyed = signatures.select("c", "n", F.posexplode("others").alias("order", "tokens")).select(
+        "c", "n", "order", F.explode(F.slice("tokens", 1, KEYS).cast("array<bigint>")).alias("key")
+    )
+    maps = signatures.select("c", "bits")
     nothing = spark.createDataFrame([], "a binary, b binary")
     links, roots, turn = nothing, components(nothing), 0
     while True:
-        placed = (keyed if turn % 2 else whole).join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
-        member = F.struct(F.xxhash64(F.lit(turn), "c").alias("turn"), "c", "n", "bits")
+        groups = keyed if turn % 2 else shared.select("c", "n", F.lit(-1).alias("order"), F.col("token").alias("key"))
+        placed = groups.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+        member = F.struct(F.xxhash64(F.lit(turn), "c").alias("turn"), "c", "n")
         sent = placed.groupBy("order", "key", "root").agg(F.min(member).alias("x"))
         heads = sent.groupBy("order", "key").agg(F.count("*").alias("roots"), F.min(F.struct("x", "root")).alias("y")).where("roots > 1")
-        met = sent.join(heads, ["order", "key"]).where(
-            (F.col("root") != F.col("y.root")) & maps_allow(("x.n", "x.bits"), ("y.x.n", "y.x.bits"), percent)
-        )
-        tried = settle(met.select(F.least("x.c", "y.x.c").alias("a"), F.greatest("x.c", "y.x.c").alias("b")).distinct())
+        first, last = F.least("x.n", "y.x.n").cast("bigint"), F.greatest("x.n", "y.x.n").cast("bigint")
+        met = sent.join(heads, ["order", "key"]).where((F.col("root") != F.col("y.root")) & (100 * first >= percent * last)).select(
+            F.col("x.c").alias("x"), F.col("x.n").alias("nx"), F.col("y.x.c").alias("y"), F.col("y.x.n").alias("ny")
+        ).distinct()
+        met = met.join(maps.select(F.col("c").alias("x"), F.col("bits").alias("bx")), "x").join(
+            maps.select(F.col("c").alias("y"), F.col("bits").alias("by")), "y"
+        ).where(maps_allow(("nx", "bx"), ("ny", "by"), percent))
+        tried = settle(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         found = verified(tried, signatures, texts, n, percent)
         links, turn = links.unionByName(found), turn + 1
         roots = components(links)
