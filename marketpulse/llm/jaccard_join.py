@@ -9,12 +9,13 @@ have to meet under all of them before they are verified on their whole sets.
 - Sets that are equal are one class, known by a 128-bit fingerprint; all further work is on classes.
 - Order 1 puts tokens that many sets hold last, as counted over all documents in a sketch of fixed size, and orders the
   rest by hash; what the sketch mixes up only moves a token within the order. Orders 2 and 3 are other hashes.
-- Classes that have a token of their prefix under order 1, or one of their very first tokens under order 2 or 3, in common
-  form groups. In rounds, each component of a group sends one member, and all are compared with one of them, so a large
-  group of near copies takes few comparisons.
+- Classes that have one of their very first tokens under order 2 or 3 in common form groups. In rounds, each component of
+  a group sends one member, and all are compared with one of them, so a large group of near copies takes few comparisons.
+  Members whose prefix tokens many others hold go first: among edited copies these are the ones with the fewest edits, and
+  a copy that is not alike to them is hardly alike to any.
 - At last, in groups of a prefix token of order 1 that still hold different components, the classes outside of a group's
-  largest component are compared with all others of the group. Pairs inside one component are skipped: they cannot change
-  a component. No pair between components is left out.
+  largest component are compared with all others of the group, each with the nearest by bitmap first. Pairs inside one
+  component are skipped: they cannot change a component. No pair between components is left out.
 - Sizes, the place of the common token and bitmaps of all tokens are compared in the join itself, so pairs that cannot be
   alike never become rows; then prefixes under the other orders must meet.
 - Components come from the smallest label spreading along links, with checkpoints between rounds.
@@ -40,8 +41,8 @@ from marketpulse.operators.sizing import broadcast_when_small
 ORDERS = 3
 # The sketch: so many counters, in blocks that are summed apart from one another.
 CELLS, BLOCKS = 1 << 24, 256
-# Words of 64 bits of a class's bitmap, in which each token flips a bit; tokens of each other order that make groups at
-# first; and the share of the links so far that a round must find for another one. Any numbers give the same components.
+# Words of 64 bits of a class's bitmap, in which each token flips a bit; tokens of each other order that make the groups
+# of the rounds; and the share of the links so far that a round must find for another one. Any numbers give the same components.
 BITMAP, KEYS, WORTH = 4, 2, 0.1
 # Bytes of text that a task hashes at once, and the base of the polynomial: any odd number without a pattern.
 BUFFER_BYTES, BASE = 4 << 20, 0x9E3779B97F4A7C15
@@ -261,12 +262,17 @@ def prefixes(docs: DataFrame, n: int, percent: int, text: str, frequent: Any) ->
     return docs.select(text).mapInArrow(cut, "c binary, n int, first array<bigint>, others array<array<int>>, bits array<bigint>")
 
 
+def differing(left: str, right: str) -> Column:
+    """How many bits two bitmaps differ in: each is a token that one of the classes lacks."""
+    bx, by = F.col(left), F.col(right)
+    return sum((F.bit_count(bx[k].bitwiseXOR(by[k])) for k in range(1, BITMAP)), F.bit_count(bx[0].bitwiseXOR(by[0])))
+
+
 def maps_allow(left: tuple[str, str], right: tuple[str, str], percent: int) -> Column:
-    """Whether (size, bitmap) of two classes allow the similarity: each bit that differs is a token that one of them lacks."""
-    (nx, bx), (ny, by) = (tuple(map(F.col, side)) for side in (left, right))
-    apart = sum((F.bit_count(bx[k].bitwiseXOR(by[k])) for k in range(1, BITMAP)), F.bit_count(bx[0].bitwiseXOR(by[0])))
+    """Whether (size, bitmap) of two classes allow the similarity."""
+    (nx, bx), (ny, by) = left, right
     # Of nx + ny tokens, percent in 100 + percent at least are there twice over; the others only once.
-    return (100 + percent) * apart.cast("bigint") <= (100 - percent) * (nx + ny).cast("bigint")
+    return (100 + percent) * differing(bx, by).cast("bigint") <= (100 - percent) * (F.col(nx) + F.col(ny)).cast("bigint")
 
 
 def verified(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -326,7 +332,7 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
     of_token = Window.partitionBy("token")
     shared = settle(
         posted.select("*", F.count("*").over(of_token).alias("m")).where("m > 1").select(
-            "c", "n", "token", "at"
+            "c", "n", "token", "at", "m"
         )
     )
     # One text for each class that shares a token with another, found by the text's hashes.
@@ -335,19 +341,20 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
     hashed = docs.select(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"), F.col(text).alias("t"))
     texts = settle(hashed.join(broadcast_when_small(needed), ["h1", "h2"]).select("c", "t").dropDuplicates(["c"]))
 
-    # Rounds over groups of classes that have a token of their prefixes in common: each component of a group sends one member,
-    # another one in each round, and one of these is compared with the rest. The first round takes order 1, where copies
-    # meet in many groups, and the next ones the first tokens of the other orders.
-    keyed = signatures.select("c", "n", F.posexplode("others").alias("order", "tokens")).select(
-        "c", "n", "order", F.explode(F.slice("tokens", 1, KEYS).cast("array<bigint>")).alias("key")
+    # Rounds over groups: each component sends one member, another one in each round from among its most central ones, and the
+    # most central of these is compared with the rest. Centrality is how many classes hold a token of a member's prefix on
+    # the average, in steps of a fifth.
+    central = shared.groupBy("c").agg(F.floor(-4 * F.log2(F.sum("m") / F.max("n"))).alias("far"))
+    first_tokens = signatures.select("c", "n", F.posexplode("others").alias("order", "tokens")).select(
+        "c", "n", "order", F.explode(F.slice("tokens", 1, KEYS)).alias("key")
     )
+    keyed = settle(first_tokens.join(central, "c"))
     maps = signatures.select("c", "bits")
     nothing = spark.createDataFrame([], "a binary, b binary")
     links, roots, turn = nothing, components(nothing), 0
     while True:
-        groups = keyed if turn % 2 else shared.select("c", "n", F.lit(-1).alias("order"), F.col("token").alias("key"))
-        placed = groups.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
-        member = F.struct(F.xxhash64(F.lit(turn), "c").alias("turn"), "c", "n")
+        placed = keyed.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+        member = F.struct("far", F.xxhash64(F.lit(turn), "c").alias("turn"), "c", "n")
         sent = placed.groupBy("order", "key", "root").agg(F.min(member).alias("x"))
         heads = sent.groupBy("order", "key").agg(F.count("*").alias("roots"), F.min(F.struct("x", "root")).alias("y")).where("roots > 1")
         first, last = F.least("x.n", "y.x.n").cast("bigint"), F.greatest("x.n", "y.x.n").cast("bigint")
@@ -365,7 +372,7 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
             break
 
     # What is left: in groups of order 1 that still hold several components, all outside of the largest with all others.
-    held = shared.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    held = shared.drop("m").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     sizes = held.groupBy("token", "root").agg(F.count("*").alias("rows"))
     mixed = sizes.groupBy("token").agg(F.count("*").alias("roots"), F.max_by("root", "rows").alias("main")).where("roots > 1")
     rows = settle(held.join(mixed.select("token", "main"), "token").join(signatures.select("c", "bits"), "c"))
@@ -377,8 +384,19 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
         (F.col("x_root") != F.col("y_root")) & ((100 + percent) * room >= percent * (F.col("x_n") + F.col("y_n")).cast("bigint"))
         & maps_allow(("x_n", "x_bits"), ("y_n", "y_bits"), percent)
     )
-    pairs = met.select(F.least("x_c", "y_c").alias("a"), F.greatest("x_c", "y_c").alias("b")).distinct()
-    links = links.unionByName(verified(pairs, signatures, texts, n, percent))
+    pairs = settle(met.select(
+        F.least("x_c", "y_c").alias("a"), F.greatest("x_c", "y_c").alias("b"), (differing("x_bits", "y_bits") / (F.col("x_n") + F.col("y_n"))).alias("gap")
+    ).distinct())
+    # Each class with the one nearest to it by bitmap comes first, which joins most of what belongs together; then all pairs
+    # that still lie in two components.
+    nearest = pairs.groupBy("a").agg(F.min_by("b", F.struct("gap", "b")).alias("b")).unionByName(
+        pairs.groupBy("b").agg(F.min_by("a", F.struct("gap", "a")).alias("a"))
+    ).distinct()
+    links = links.unionByName(verified(nearest, signatures, texts, n, percent))
+    roots = components(links)
+    of_a, of_b = (roots.select(F.col("c").alias(side), F.col("root").alias(f"root_{side}")) for side in ("a", "b"))
+    apart = pairs.join(of_a, "a", "left").join(of_b, "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+    links = links.unionByName(verified(apart.select("a", "b"), signatures, texts, n, percent))
     roots = components(links)
 
     lowest = named.where("n > 0").groupBy("c").agg(F.min(key).alias("low"))
