@@ -45,7 +45,7 @@ CELLS, BLOCKS = 1 << 24, 256
 # of the rounds; and the share of the links so far that a round must find for another one. Any numbers give the same components.
 BITMAP, KEYS, WORTH = 4, 2, 0.1
 # Bytes of text that a task hashes at once, and the base of the polynomial: any odd number without a pattern.
-BUFFER_BYTES, BASE = 4 << 20, 0x9E3779B97F4A7C15
+BUFFER_BYTES, BASE = 1 << 20, 0x9E3779B97F4A7C15
 
 
 def mixer() -> Callable:
