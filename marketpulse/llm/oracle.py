@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from marketpulse.llm.quality_votes import (
-    ITERATIONS, LEAST, MOST, RULES, START_ACCURACY, START_SHARE, THRESHOLD,
+    ITERATIONS, PRIOR, RULES, START_ACCURACY, START_SHARE, THRESHOLD,
 )
 
 _PERSPECTIVES = r"""
@@ -117,17 +117,21 @@ def _quality_sql() -> str:
         f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END AS v{j}" for j, (good, bad) in enumerate(rules)
     )
     names = ", ".join(f"v{j}" for j in range(len(rules)))
-    evidence = " + ".join(["ln(share / (1 - share))", *(f"v{j} * ln(a{j} / (1 - a{j}))" for j in range(len(rules)))])
-    learned = ", ".join(
-        f"""coalesce(greatest({LEAST}, least({MOST}, sum(CASE v{j} WHEN 1 THEN n * p WHEN -1 THEN n * (1 - p) ELSE 0 END)
-        / nullif(sum(n * abs(v{j})), 0))), any_value(a{j})) AS a{j}""" for j in range(len(rules))
-    )
-    start = ", ".join(f"{START_ACCURACY}::DOUBLE AS a{j}" for j in range(len(rules)))
-    steps = [f"m0 AS (SELECT {START_SHARE}::DOUBLE AS share, {start})"]
+    evidence = " + ".join(["ln(share / (1 - share))", *(
+        f"CASE v{j} WHEN 1 THEN ln(g{j} / (1 - b{j})) WHEN -1 THEN ln((1 - g{j}) / b{j}) ELSE 0 END" for j in range(len(rules))
+    )])
+
+    def learned(j: int, right: int, weight: str, name: str) -> str:
+        return f"""(sum(CASE v{j} WHEN {right} THEN {weight} ELSE 0 END) + {PRIOR} * sum(n) * {START_ACCURACY})
+        / (sum(CASE v{j} WHEN 0 THEN 0 ELSE {weight} END) + {PRIOR} * sum(n)) AS {name}{j}"""
+
+    both = ", ".join(f"{learned(j, 1, 'n * p', 'g')}, {learned(j, -1, 'n * (1 - p)', 'b')}" for j in range(len(rules)))
+    start = ", ".join(f"{START_ACCURACY}::DOUBLE AS g{j}, {START_ACCURACY}::DOUBLE AS b{j}" for j in range(len(rules)))
+    steps = [f"m0 AS MATERIALIZED (SELECT {START_SHARE}::DOUBLE AS share, {start})"]
     for t in range(1, ITERATIONS + 1):
         steps.append(f"e{t} AS (SELECT *, 1 / (1 + exp(-({evidence}))) AS p FROM b, m{t - 1})")
         steps.append(
-            f"m{t} AS (SELECT greatest({LEAST}, least({MOST}, sum(n * p) / sum(n))) AS share, {learned} FROM e{t})"
+            f"m{t} AS MATERIALIZED (SELECT (sum(n * p) + {PRIOR} * sum(n) * {START_SHARE}) / (sum(n) * (1 + {PRIOR})) AS share, {both} FROM e{t})"
         )
     return rf"""
 WITH d AS (
@@ -147,7 +151,10 @@ WITH d AS (
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
          (length(text) - length(regexp_replace(text, '[!?]', '', 'g')))::BIGINT AS n_marks,
-         (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_capitals
+         (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_capitals,
+         len(list_distinct(w))::BIGINT AS n_distinct,
+         len(list_filter(w, lambda x: regexp_matches(x, '[^\x00-\x40\x5B-\x60\x7B-\x7F]$')))::BIGINT AS n_ends,
+         len(list_filter(w, lambda x: length(x) <= 3))::BIGINT AS n_short
   FROM d LEFT JOIN rep USING (doc_id)
 ), y AS (
   SELECT *, {ballot} FROM x

@@ -2,8 +2,9 @@
 
 Every rule votes good (1), bad (-1) or abstains (0) on a document. Documents are counted by their votes, at most three
 to the power of the number of rules rows, however large the corpus. On these counts EM estimates the share of good
-documents and each rule's accuracy where it votes; a document is kept if its posterior probability of being good reaches
-the threshold, whether or not some single rule objects.
+documents and each rule's accuracy where it votes, on good and on bad documents apart (Dawid and Skene, 1979): most rules
+find hardly anything to object to, so their good votes say little and a bad vote says much. A document is kept if its
+posterior probability of being good reaches the threshold, whether or not some single rule objects.
 
 All of it is Spark SQL functions: counting, the EM steps (a fold over iterations in one row) and the posterior.
 
@@ -22,10 +23,12 @@ from marketpulse.llm.common import BLANKS, bind, settle, words_of
 WINDOW_WORDS = 8
 ITERATIONS = 25
 START_ACCURACY, START_SHARE = 0.75, 0.75
-# Neither a rule nor the share of good documents is ever taken as certain.
-LEAST, MOST = 0.05, 0.95
+# The start values weigh as much as this share of all documents, so nothing is ever taken as certain, at any size.
+PRIOR = 0.02
 THRESHOLD = 0.5
 SYMBOLS = "#*$%&|<>"
+# A word's last character, where that is of ASCII and no letter.
+ODD_END = r"[\x00-\x08\x0E-\x1F\x21-\x40\x5B-\x60\x7B-\x7F](?=[\x20\x09-\x0D]|\z)"
 
 
 def repeated_words(words: Column, span: int = WINDOW_WORDS) -> Column:
@@ -61,7 +64,12 @@ def repeated_words(words: Column, span: int = WINDOW_WORDS) -> Column:
 
 
 def metrics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_marks, n_capitals), whole texts, no shuffle."""
+    """One row per document, whole texts, no shuffle.
+
+    Columns: key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_marks, n_capitals, n_distinct (different
+    words), n_ends (words whose last character is a letter of ASCII or no character of it), n_short (words of at most three
+    characters).
+    """
     content = F.coalesce(F.col(text), F.lit(""))
 
     def without(characters: str) -> Column:
@@ -69,7 +77,9 @@ def metrics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     lines = F.filter(F.split(content, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     counts = bind(words_of(text), lambda w: F.struct(
-        F.size(w).cast("bigint").alias("n_words"), repeated_words(w).cast("bigint").alias("n_repeat_words")
+        F.size(w).cast("bigint").alias("n_words"), repeated_words(w).cast("bigint").alias("n_repeat_words"),
+        F.size(F.array_distinct(w)).cast("bigint").alias("n_distinct"),
+        F.size(F.filter(w, lambda x: F.length(x) <= 3)).cast("bigint").alias("n_short"),
     ))
     return docs.select(
         key, counts.alias("_c"),
@@ -78,7 +88,11 @@ def metrics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         bind(lines, lambda l: F.size(l) - F.size(F.array_distinct(l))).cast("bigint").alias("n_dup_lines"),
         without("!?").alias("n_marks"),
         without("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_capitals"),
-    ).select(key, "_c.n_words", "word_chars", "n_symbols", "n_dup_lines", "_c.n_repeat_words", "n_marks", "n_capitals")
+        F.regexp_count(content, F.lit(ODD_END)).alias("_odd"),
+    ).select(
+        key, "_c.n_words", "word_chars", "n_symbols", "n_dup_lines", "_c.n_repeat_words", "n_marks", "n_capitals",
+        "_c.n_distinct", (F.col("_c.n_words") - F.col("_odd")).alias("n_ends"), "_c.n_short",
+    )
 
 
 def vote(good: str, bad: str) -> Column:
@@ -92,8 +106,14 @@ RULES: Mapping[str, tuple[str, str]] = {
     "few symbols": ("100 * n_symbols <= 2 * n_words", "100 * n_symbols > 20 * n_words"),
     "few equal lines": ("n_dup_lines = 0", "n_dup_lines >= 4 AND 15 * n_dup_lines > n_words"),
     "usual words": (
-        "word_chars >= 3 * n_words AND word_chars <= 9 * n_words", "word_chars < 2 * n_words OR word_chars > 12 * n_words"
+        "10 * word_chars >= 35 * n_words AND 10 * word_chars <= 65 * n_words",
+        "10 * word_chars < 25 * n_words OR 10 * word_chars > 75 * n_words",
+    ),
+    "words end in letters": ("100 * n_ends >= 75 * n_words", "100 * n_ends < 60 * n_words"),
+    "some short words": (
+        "100 * n_short >= 22 * n_words AND 100 * n_short <= 45 * n_words", "100 * n_short < 12 * n_words OR 100 * n_short > 60 * n_words"
     ),
+    "different words": ("100 * n_distinct >= 50 * n_words", "100 * n_distinct < 20 * n_words"),
     "few marks": ("50 * n_marks <= n_words", "5 * n_marks > n_words"),
     "few capitals": ("100 * n_capitals <= 10 * word_chars", "100 * n_capitals > 40 * word_chars"),
 }
@@ -107,54 +127,61 @@ def log_odds(p: Column) -> Column:
     return F.log(p / (F.lit(1.0) - p))
 
 
-def posterior(ballot: Column, share: Column, accuracies: Column) -> Column:
-    """Probability of good: each vote adds or takes its rule's log-odds, an abstention adds nothing."""
-    weighted = F.zip_with(ballot, accuracies, lambda v, a: v * log_odds(a))
-    evidence = F.aggregate(weighted, log_odds(share), lambda s, x: s + x)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-evidence))
-
+def posterior(ballot: Column, share: Column, on_good: Column, on_bad: Column) -> Column:
+    """Probability of good: each vote adds the logarithm of how much likelier it is on a good than on a bad document.
 
-def within(p: Column) -> Column:
-    return F.greatest(F.lit(LEAST), F.least(F.lit(MOST), p))
+    `on_good` and `on_bad` hold each rule's accuracy on documents of that kind; an abstention adds nothing.
+    """
+    one = F.lit(1.0)
+    ratios = F.zip_with(on_good, on_bad, lambda g, b: F.struct(F.log(g / (one - b)).alias("good"), F.log((one - g) / b).alias("bad")))
+    weighted = F.zip_with(ballot, ratios, lambda v, r: F.when(v == 1, r["good"]).when(v == -1, r["bad"]).otherwise(F.lit(0.0)))
+    evidence = F.aggregate(weighted, log_odds(share), lambda s, x: s + x)
+    return one / (one + F.exp(-evidence))
 
 
 def estimate(ballots: DataFrame, n_rules: int, iterations: int = ITERATIONS) -> DataFrame:
-    """One row (share, accuracies) from (ballot, n): EM as a fold over its iterations.
+    """One row (share, accuracies, on_good, on_bad) from (ballot, n): EM as a fold over its iterations.
 
     A step weighs every pattern of votes with its posterior; the share is the mean posterior, and a rule's accuracy the
-    mean probability of being right where it votes. A rule that never votes keeps its accuracy.
+    mean probability of being right where it votes, on good and on bad documents; `accuracies` is that of both together.
+    Start values are mixed in with the weight PRIOR, and a rule that never votes keeps them.
     """
     rows = ballots.agg(F.array_sort(F.collect_list(F.struct("ballot", F.col("n").cast("double").alias("n")))).alias("rows"))
     rules = F.sequence(F.lit(0), F.lit(n_rules - 1))
-    start = F.struct(
-        F.lit(START_SHARE).alias("share"), F.array(*[F.lit(START_ACCURACY)] * n_rules).alias("accuracies")
-    )
+    same = F.array(*[F.lit(START_ACCURACY)] * n_rules)
+    start = F.struct(F.lit(START_SHARE).alias("share"), same.alias("on_good"), same.alias("on_bad"))
 
     def total(array: Column, value) -> Column:
         return F.aggregate(array, F.lit(0.0), lambda s, x: s + value(x))
 
-    def step(state: Column, _: Column) -> Column:
-        weighed = F.transform("rows", lambda r: F.struct(
+    def weigh(state: Column) -> Column:
+        return F.transform("rows", lambda r: F.struct(
             r["ballot"].alias("ballot"), r["n"].alias("n"),
-            posterior(r["ballot"], state["share"], state["accuracies"]).alias("p"),
+            (r["n"] * posterior(r["ballot"], state["share"], state["on_good"], state["on_bad"])).alias("good"),
         ))
 
-        def accuracy(found: Column, j: Column) -> Column:
-            def mine(r: Column) -> Column:
-                return F.get(r["ballot"], j)
+    def mixed(found: Column, right: Column, cast: Column, first: float) -> Column:
+        prior = F.lit(PRIOR) * total(found, lambda r: r["n"])
+        return (right + prior * F.lit(first)) / (cast + prior)
 
-            right = total(found, lambda r: F.when(mine(r) == 1, r["n"] * r["p"]).when(
-                mine(r) == -1, r["n"] * (F.lit(1.0) - r["p"])).otherwise(F.lit(0.0)))
-            cast = total(found, lambda r: F.when(mine(r) != 0, r["n"]).otherwise(F.lit(0.0)))
-            return F.when(cast > 0, within(right / cast)).otherwise(F.get(state["accuracies"], j))
+    def accuracy(found: Column, j: Column, vote: int, weight) -> Column:
+        def where(r: Column, condition: Column) -> Column:
+            return F.when(condition, weight(r)).otherwise(F.lit(0.0))
 
-        return bind(weighed, lambda found: F.struct(
-            within(total(found, lambda r: r["n"] * r["p"]) / total(found, lambda r: r["n"])).alias("share"),
-            F.transform(rules, lambda j: accuracy(found, j)).alias("accuracies"),
+        right = total(found, lambda r: where(r, F.get(r["ballot"], j) == vote))
+        return mixed(found, right, total(found, lambda r: where(r, F.get(r["ballot"], j) != 0)), START_ACCURACY)
+
+    def step(state: Column, _: Column) -> Column:
+        return bind(weigh(state), lambda found: F.struct(
+            mixed(found, total(found, lambda r: r["good"]), total(found, lambda r: r["n"]), START_SHARE).alias("share"),
+            F.transform(rules, lambda j: accuracy(found, j, 1, lambda r: r["good"])).alias("on_good"),
+            F.transform(rules, lambda j: accuracy(found, j, -1, lambda r: r["n"] - r["good"])).alias("on_bad"),
         ))
 
     known = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), start, step)
-    return rows.select(F.when(F.size("rows") > 0, known).otherwise(start).alias("e")).select("e.share", "e.accuracies")
+    learned = rows.select(F.when(F.size("rows") > 0, known).otherwise(start).alias("e")).select("e.*")
+    together = F.zip_with("on_good", "on_bad", lambda g, b: F.col("share") * g + (F.lit(1.0) - F.col("share")) * b)
+    return learned.select("share", together.alias("accuracies"), "on_good", "on_bad")
 
 
 def judge(
@@ -168,7 +195,9 @@ def judge(
     """
     measured = settle(metrics(docs, key, text).withColumn("ballot", votes(docs, rules)))
     learned = estimate(measured.groupBy("ballot").agg(F.count("*").alias("n")), len(rules)).first()
-    quality = posterior(F.col("ballot"), F.lit(learned["share"]), F.array(*map(F.lit, learned["accuracies"])))
+    quality = posterior(
+        F.col("ballot"), F.lit(learned["share"]), F.array(*map(F.lit, learned["on_good"])), F.array(*map(F.lit, learned["on_bad"]))
+    )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return measured.withColumns({"base_failed": failed, "quality": quality}).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality") >= threshold)

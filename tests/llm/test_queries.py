@@ -105,6 +105,14 @@ def test_base_metrics(spark, documents):
         assert r["base_failed"] == failed and not (failed and r["kept"])
 
 
+def test_votes_tell_bad_from_good(spark, duck):
+    """The labels were never seen; of documents that pass the base rule, bad ones go and good ones stay."""
+    rows = {r["doc_id"]: r for r in QUERIES["op6_quality_votes"](spark, SF_DIR).collect() if not r["base_failed"]}
+    labels = duck.execute("SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL").fetchall()
+    bad, good = ([rows[k]["kept"] for k, quality in labels if quality == q and k in rows] for q in (0, 1))
+    assert sum(bad) <= 0.15 * len(bad) and sum(good) >= 0.97 * len(good)
+
+
 def test_components_equal_all_pairs(spark, documents):
     rows = sorted(documents.items())
     ours = sorted(tuple(r) for r in QUERIES["op7_jaccard_join"](spark, SF_DIR).collect())
