@@ -4,7 +4,8 @@ Rules are keyed by host and path prefix. Their 64-bit xxhash keys stand sorted i
 batch of candidate keys is probed with one vectorised binary search, and a hit counts only if the stored string is the
 candidate itself, so two strings with one digest cannot be mixed up.
 
-A url's candidates are its host and every parent domain, each with every prefix of its path as long as some rule's path.
+A url's candidates are its host and parent domains of as many labels as some rule's host, each with every prefix of its
+path as long as some rule's path; a host of any length has no more candidates than that.
 The longest rule that is found decides; a url that no rule fits gets the method's own verdict, `default`.
 
 Null urls and urls without `://` have an empty host and path, and no rule fits them. Rules with equal keys: the last one
@@ -106,10 +107,14 @@ class DigestArray:
         return self.strings[(int(self.ends[k - 1]) if k else 0) : int(self.ends[k])].tobytes()
 
 
-def parents(host: str) -> list[str]:
-    """The host and every domain above it."""
-    labels = host.split(".")
-    return [".".join(labels[i:]) for i in range(len(labels))] if host else []
+def parents(host: str, labels: Sequence[int]) -> list[str]:
+    """The host's endings (itself or domains above it) of as many labels as given; no other could be a rule's host."""
+    found = []
+    for n in labels if host else ():
+        pieces = host.rsplit(".", n)
+        if len(pieces) >= n:
+            found.append(".".join(pieces[-n:]))
+    return found
 
 
 def judge(
@@ -118,6 +123,7 @@ def judge(
     """(key, host, path, rule, verdict) for every page; one pass over the urls, no shuffle."""
     name = build_index(pages.sparkSession, rules)
     lengths = sorted({len(path) for _, _, path in rules})
+    labels = sorted({host.count(".") + 1 for _, host, _ in rules})
     rows = pages.select(key, host_of(url).alias("host"), path_of(url).alias("path"))
 
     def probe(batches: Iterable) -> Iterator:
@@ -128,7 +134,7 @@ def judge(
             candidates: list[str] = []
             owner: list[int] = []
             for i, (host, path) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                for domain in parents(host):
+                for domain in parents(host, labels):
                     for length in lengths:
                         if length <= len(path):
                             candidates.append(domain + path[:length])

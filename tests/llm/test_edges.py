@@ -105,6 +105,13 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in url_rules.judge(pages, []).collect()} == {"allow"}
 
 
+def test_long_hosts(spark):
+    hosts = ["a." * 100_000 + "example.org", "." * 100_000 + "com", "a" * 1_000_000, "a." * 50_000]
+    pages = spark.createDataFrame([(i, f"http://{h}/es/") for i, h in enumerate(hosts)], "page_id int, url string")
+    got = {r["page_id"]: (r["host"], r["rule"]) for r in url_rules.judge(pages, URL_RULES).collect()}
+    assert [got[i] for i in range(4)] == list(zip(hosts, ["example.org/es/", None, None, None]))
+
+
 def test_equal_digests_are_told_apart(spark, tmp_path, monkeypatch):
     import xxhash
 
