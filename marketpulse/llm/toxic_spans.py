@@ -7,9 +7,10 @@ expected number of toxic words, and its spans are the runs of words whose margin
 
 Labels are given for documents, not for words. Token labels come from them: in a toxic training document, the words that
 are far more frequent in toxic than in other training documents are toxic; all others, and every word of the other
-documents, are not. The field is fitted on a bounded sample (SAMPLE_ROWS documents of each label, SAMPLE_BYTES for each)
-that leaves out the held-out third and passes over texts that do not fit it; the calibration is weighted to the labels'
-true shares.
+documents, are not. Words are counted in a bounded sample (EVIDENCE_ROWS documents of each label, EVIDENCE_BYTES for each)
+that leaves out the held-out third and passes over texts that do not fit it: a language with few documents needs many
+others beside it before its words can be told from chance. The field is fitted on a part of that sample (SAMPLE_ROWS and
+SAMPLE_BYTES for each label), and the calibration is weighted to the labels' true shares.
 
 Spark scores all documents in one pass without a shuffle. Messages run over a whole batch of documents as one chain that
 forgets its state where a document begins, so the cost for each word does not depend on a text's length. Null and empty
@@ -29,6 +30,7 @@ from marketpulse.llm.common import held_out, keyed_schema, labelled_sample
 
 DIMENSIONS = 1 << 16
 SAMPLE_ROWS, SAMPLE_BYTES = 1000, 5 << 20
+EVIDENCE_ROWS, EVIDENCE_BYTES = 5000, 12 << 20
 # A word is taken as toxic if its log-odds are so high, and chance would bring up so few such words among all.
 LEAST_LOG_ODDS, BY_CHANCE = 2.5, 20
 ROUNDS, RATE, RIDGE = 40, 0.3, 1e-6
@@ -176,18 +178,16 @@ def batches_of(numbers: list, labels, is_toxic) -> list[tuple]:
     return out
 
 
-def fit(numbers: list, labels, vocabulary: dict[str, int], share: float) -> SpanModel:
+def fit(numbers: list, labels, vocabulary: list[str], is_toxic, share: float) -> SpanModel:
     """Maximum likelihood of the token labels by Adam; then a logistic calibration of the documents' evidence.
 
-    `numbers` holds each document's words as numbers of the vocabulary. A step goes through the documents in batches and
-    adds up the gradient, so its memory does not follow the sample.
+    `numbers` holds each document's words as numbers of the vocabulary, and `is_toxic` tells its toxic words. A step goes
+    through the documents in batches and adds up the gradient, so its memory does not follow the sample.
     """
     import numpy as np
 
-    nothing = SpanModel(np.zeros(DIMENSIONS), -4.0, np.zeros((2, 2)), np.array([-4.0, 0.0, 0.0]))
-    is_toxic = token_labels(numbers, labels, len(vocabulary)) if vocabulary else np.zeros(0, dtype=bool)
     if not is_toxic.any():
-        return nothing
+        return SpanModel(np.zeros(DIMENSIONS), -4.0, np.zeros((2, 2)), np.array([-4.0, 0.0, 0.0]))
     features = np.array([feature_indices(w) for w in vocabulary], dtype=np.int32)
     batches = batches_of(numbers, labels, is_toxic)
     params = np.concatenate([np.zeros(DIMENSIONS), [-4.0], np.zeros(4)])
@@ -241,28 +241,56 @@ def potentials(weights, bias, features, word, first, last):
     return own
 
 
+def within_bounds(given: list[int], sizes: list[int], marks: list[int], rows: int, max_bytes: int) -> list[int]:
+    """Of each label the first documents by their marks, as many as the bounds allow; one that does not fit is passed over."""
+    chosen = []
+    for value in (0, 1):
+        n, left = 0, max_bytes
+        for i in sorted((i for i, g in enumerate(given) if g == value), key=lambda i: (marks[i], sizes[i])):
+            if n < rows and sizes[i] <= left:
+                chosen.append(i)
+                n, left = n + 1, left - sizes[i]
+    return chosen
+
+
 def train(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text",
     sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
+    evidence_rows: int = EVIDENCE_ROWS, evidence_bytes: int = EVIDENCE_BYTES,
 ) -> SpanModel:
+    """Words are judged by the evidence sample, the field is fitted on what of it `sample_rows` and `sample_bytes` allow."""
     import re
+    from zlib import crc32
 
     import numpy as np
 
     flag = F.when(F.col(label) > 0, 1).when(F.col(label) == 0, 0)
     counted = labels.where(~held_out(key)).agg(F.avg(flag).alias("share")).first()
-    vocabulary: dict[str, int] = {}
-    numbers, given = [], []
+    ids: dict[str, int] = {}
+    numbers, given, sizes, marks = [], [], [], []
     for value in (0, 1):
         only = F.when(flag == value, flag)
-        for row in labelled_sample(docs, labels, only, sample_rows, sample_bytes, key, text).toLocalIterator():
+        sample = labelled_sample(docs, labels, only, evidence_rows, evidence_bytes, key, text)
+        for row in sample.toLocalIterator():
+            raw = row["text"].encode()
             words = re.findall(WORD, row["text"].lower())
-            numbers.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], dtype=np.int32))
+            numbers.append(np.array([ids.setdefault(w, len(ids)) for w in words], dtype=np.int32))
             given.append(row["label"])
+            sizes.append(len(raw))
+            marks.append(crc32(raw))
     share = counted["share"] or 0.0
     if 0 < share < 1 and len(set(given)) < 2 and not docs.isEmpty():
         raise ValueError("there are labels of both kinds, but of one of them no document to learn from")
-    return fit(numbers, given, vocabulary, share)
+    is_toxic = token_labels(numbers, given, len(ids)) if ids else np.zeros(0, dtype=bool)
+    chosen = within_bounds(given, sizes, marks, sample_rows, sample_bytes)
+    if given and len({given[i] for i in chosen}) < len(set(given)):
+        raise ValueError(f"none of the labelled documents of one kind fits {sample_bytes} bytes")
+    # Only words of the chosen documents are kept, numbered anew.
+    vocabulary = list(ids)
+    known, inner = np.unique(np.concatenate([numbers[i] for i in chosen]), return_inverse=True) if chosen else (np.zeros(0, int), None)
+    cuts = np.cumsum([len(numbers[i]) for i in chosen])[:-1]
+    words = np.split(inner.astype(np.int32), cuts) if chosen else []
+    return fit(words, [given[i] for i in chosen], [vocabulary[k] for k in known], is_toxic[known], share)
 
 
 def score(docs: DataFrame, model: SpanModel, key: str = "doc_id", text: str = "text") -> DataFrame:
