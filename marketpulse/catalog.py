@@ -472,11 +472,11 @@ def stream_merge_feeds(spark, sf):
     return tables.read_table(spark, f"{lake}/merged", ticks.schema).select("symbol", "price", "source", _plain("ingest_ts"))
 
 
-def _in_lots(rows, path, lots=3):
-    """Write rows as three lots, one after another; what follows each lot runs in between."""
+def _in_lots(rows, path, lots=3, made_of=lambda lot: lot):
+    """Write rows, or what is made of them, as three lots, one after another; what follows each lot runs in between."""
     lot_of = F.pmod(F.xxhash64(*rows.columns), F.lit(lots))
     for lot in range(lots):
-        rows.where(lot_of == lot).write.mode("append").parquet(path)
+        made_of(rows.where(lot_of == lot)).write.mode("append").parquet(path)
         yield lot
 
 
@@ -492,8 +492,13 @@ def increment_prices(spark, sf):
 @_query
 def increment_social(spark, sf):
     lake = fx.scratch(spark)
-    rows = mentions.explode_mentions(fx.social_posts(spark, sf), fx.WATCHLIST, fx.now())
-    for _ in _in_lots(rows, f"{lake}/mentions"):
+
+    def mentioned(posts):
+        # Of the mentions table, the columns that the increment reads.
+        return mentions.explode_mentions(posts, fx.WATCHLIST, fx.now()).select("ticker", "created_ts", "full_text")
+
+    # Posts are dealt before tickers are looked for, so each is searched once.
+    for _ in _in_lots(fx.social_posts(spark, sf), f"{lake}/mentions", made_of=mentioned):
         replay.finish(increments.start_social_daily(
             spark, f"{lake}/mentions", fx.lexicon(spark), f"{lake}/daily", f"{lake}/checkpoint", replay.ALL_THERE_IS
         ))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketpulse.functions.times import day_of
 from marketpulse.operators.decode import valid_ticks
-from marketpulse.operators.sentiment import score_posts
+from marketpulse.operators.sentiment import score_mentions, score_posts
 from marketpulse.operators.sizing import at_newest
 
 
@@ -68,7 +68,7 @@ def social_daily(posts: DataFrame, lexicon: DataFrame) -> DataFrame:
 def social_daily_from_mentions(mentions: DataFrame, lexicon: DataFrame) -> DataFrame:
     """The same from the stored mentions table, which already has one row per (post, ticker)."""
     dated = mentions.select("ticker", day_of("created_ts").alias("day"), "full_text")
-    return daily_average(score_posts(dated, ["ticker", "day"], lexicon))
+    return daily_average(score_mentions(dated, ["ticker", "day"], lexicon))
 
 
 def daily_mean(rows: DataFrame, value: str = "sentiment") -> DataFrame:

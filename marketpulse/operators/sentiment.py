@@ -55,6 +55,19 @@ def score_posts(posts: DataFrame, keys: Sequence[str], lexicon: DataFrame, text:
     )
 
 
+def score_mentions(mentions: DataFrame, keys: Sequence[str], lexicon: DataFrame, text: str = "full_text") -> DataFrame:
+    """What `score_posts` gives, for rows that repeat each text under several keys, as mentions do for every ticker.
+
+    Each distinct text is cut and scored once, however many rows hold it. Repeated texts collapse in the map tasks, so a
+    shuffle carries at most one copy from each; the rows themselves are counted by a hash of their text.
+    """
+    # An empty hash stands for a null text: nulls would not meet in the join.
+    ident = F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b"")).alias("_id")
+    counted = mentions.select(*keys, ident).groupBy(*keys, "_id").agg(F.count("*").alias("copies"))
+    scored = score_posts(mentions.select(text).distinct().select(ident, text), ["_id"], lexicon, text).drop("copies")
+    return counted.join(scored, "_id").select(*keys, "copies", "sentiment_e4")
+
+
 def post_sentiment(posts: DataFrame, keys: Sequence[str], lexicon: DataFrame, text: str = "full_text") -> DataFrame:
     """(keys, copies, sentiment) with the score as a double in [-1, 1]; a text without a known word scores 0."""
     scored = score_posts(posts, keys, lexicon, text)

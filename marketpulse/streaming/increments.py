@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketpulse.functions.times import day_of
 from marketpulse.operators.daily import dated_ticks, sum_and_count
-from marketpulse.operators.sentiment import score_posts
+from marketpulse.operators.sentiment import score_mentions
 from marketpulse.operators.sizing import at_newest
 from marketpulse.schemas import LAST_PRICES, MENTION_SPEED, MENTION_SUMS, PRICE_SPEED
 from marketpulse.streaming.store import read_days, start_merge
@@ -47,7 +47,7 @@ def start_social_daily(
     """Merge the files that have been added to the mentions into the table of sums and counts."""
     def sums(rows: DataFrame) -> DataFrame:
         dated = rows.select("ticker", day_of("created_ts").alias("day"), "full_text")
-        return sum_and_count(score_posts(dated, ["ticker", "day"], lexicon))
+        return sum_and_count(score_mentions(dated, ["ticker", "day"], lexicon))
 
     return start_merge(
         _new_files(spark, mentions_path, MENTION_SPEED, files_per_batch), path, checkpoint, MENTION_SUMS,

@@ -185,6 +185,13 @@ def test_social_daily_counts_posts_per_ticker_and_keeps_the_null_day(spark):
     assert [(t, d, pytest.approx(a), n) for t, d, a, n in got] == plain
 
 
+def test_scores_of_mentions_are_those_of_their_posts(spark):
+    texts = [("V", "V good"), ("V", "V good"), ("BA", "V good"), ("BA", "bad"), ("V", None), ("V", ""), (None, "bad")]
+    found = spark.createDataFrame(texts, "ticker string, full_text string")
+    apart = bag(sentiment.score_posts(found, ["ticker"], lexicon(spark)))
+    assert bag(sentiment.score_mentions(found, ["ticker"], lexicon(spark))) == apart
+
+
 # --- daily prices
 
 

@@ -70,6 +70,13 @@ def test_sentiment_shuffles_scores_and_not_texts(spark):
     assert text.index("sha2(") > text.index("Generate"), "the hash is taken below the explode"
 
 
+def test_mentions_are_scored_once_per_text(spark):
+    stored = mentions.explode_mentions(fx.social_posts(spark, SF_DIR), fx.WATCHLIST, fx.now())
+    text = plan(daily.social_daily_from_mentions(stored.select("ticker", "created_ts", "full_text"), fx.lexicon(spark)))
+    cut = text.index("posexplode")
+    assert re.search(r"HashAggregate\(keys=\[full_text#\d+\]", text[cut:]), "texts are cut before their copies collapse"
+
+
 def test_texts_and_json_are_read_once_per_row(spark):
     posts = fx.table(spark, SF_DIR, "documents").select(
         F.col("text"), F.lit(None).cast("string").alias("title"), F.lit(0.0).alias("created_utc")
