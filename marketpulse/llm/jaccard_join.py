@@ -17,7 +17,8 @@ have to meet under all of them before they are verified on their whole sets.
   largest component are compared with all others of the group, each with the nearest by bitmap first. Pairs inside one
   component are skipped: they cannot change a component. No pair between components is left out.
 - Sizes, the place of the common token and bitmaps of all tokens are compared in the join itself, so pairs that cannot be
-  alike never become rows; then prefixes under the other orders must meet.
+  alike never become rows, and others become one row, not one for each common token; then prefixes under the other orders
+  must meet.
 - Components come from the smallest label spreading along links, with checkpoints between rounds.
 
 Words are blank-separated after A-Z are lower-cased. A document of fewer than `n` words is one n-gram of its own; null
@@ -42,8 +43,9 @@ ORDERS = 3
 # The sketch: so many counters, in blocks that are summed apart from one another.
 CELLS, BLOCKS = 1 << 24, 256
 # Words of 64 bits of a class's bitmap, in which each token flips a bit; tokens of each other order that make the groups
-# of the rounds; and the share of the links so far that a round must find for another one. Any numbers give the same components.
-BITMAP, KEYS, WORTH = 4, 2, 0.1
+# of the rounds; the share of the links so far that a round must find for another one; and first tokens of a class that are
+# carried along to tell where two classes meet. Any numbers give the same components.
+BITMAP, KEYS, WORTH, LISTED = 8, 2, 0.1, 16
 # Bytes of text that a task hashes at once, and the base of the polynomial: any odd number without a pattern.
 BUFFER_BYTES, BASE = 4 << 20, 0x9E3779B97F4A7C15
 
@@ -244,7 +246,8 @@ def prefixes(docs: DataFrame, n: int, percent: int, text: str, frequent: Any) ->
                 cell = (tokens >> np.uint64(40)).astype(np.int64)
                 late = (marked[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1
                 rank = (mix(tokens, 101) >> np.uint64(1)) | (late.astype(np.uint64) << np.uint64(63))
-                order = np.argsort(rank)[:size]
+                # Tokens come sorted, so equal ranks stand in the same order in every set.
+                order = np.argsort(rank, kind="stable")[:size]
                 out[0].append(c)
                 out[1].append(len(tokens))
                 out[2].append(tokens[order].view(np.int64))
@@ -303,6 +306,26 @@ def verified(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, n: int,
     return settle(left.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a binary, b binary"))
 
 
+def meetings(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b, gap): pairs of two components in the groups of a token, as far as sizes, places and bitmaps allow them.
+
+    Two classes meet at the first token that both have among the first few of each, and at every common token only if there
+    is none. In the group, the one outside of the largest component takes the other, or the smaller class, if both are.
+    """
+    named_as = lambda side: [F.col(c).alias(f"{side}_{c}") for c in ("c", "n", "at", "root", "tokens", "bits")]
+    minor, every = rows.where("root <> main").select("token", *named_as("x")), rows.select("token", "main", *named_as("y"))
+    # All that two sets share stands from their first common token on, so that one leaves room for enough in both.
+    room = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")).cast("bigint")
+    return minor.join(every, "token").where(
+        (F.col("x_root") != F.col("y_root")) & ((100 + percent) * room >= percent * (F.col("x_n") + F.col("y_n")).cast("bigint"))
+        & ((F.col("y_root") == F.col("main")) | (F.col("x_c") < F.col("y_c")))
+        & maps_allow(("x_n", "x_bits"), ("y_n", "y_bits"), percent)
+        & (F.coalesce(F.get(F.array_intersect("x_tokens", "y_tokens"), F.lit(0)), F.col("token")) == F.col("token"))
+    ).select(
+        F.least("x_c", "y_c").alias("a"), F.greatest("x_c", "y_c").alias("b"), (differing("x_bits", "y_bits") / (F.col("x_n") + F.col("y_n"))).alias("gap")
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """(c, root) for every class in a link: root is the smallest class of its component.
 
@@ -375,18 +398,11 @@ def link_documents(docs: DataFrame, n: int = 4, percent: int = 85, key: str = "d
     held = shared.drop("m").join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     sizes = held.groupBy("token", "root").agg(F.count("*").alias("rows"))
     mixed = sizes.groupBy("token").agg(F.count("*").alias("roots"), F.max_by("root", "rows").alias("main")).where("roots > 1")
-    rows = settle(held.join(mixed.select("token", "main"), "token").join(signatures.select("c", "bits"), "c"))
-    named_as = lambda side: [F.col(c).alias(f"{side}_{c}") for c in ("c", "n", "at", "root", "bits")]
-    minor, every = rows.where("root <> main").select("token", *named_as("x")), rows.select("token", *named_as("y"))
-    # All that two sets share stands from their first common token on, so that one leaves room for enough in both.
-    room = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")).cast("bigint")
-    met = minor.join(every, "token").where(
-        (F.col("x_root") != F.col("y_root")) & ((100 + percent) * room >= percent * (F.col("x_n") + F.col("y_n")).cast("bigint"))
-        & maps_allow(("x_n", "x_bits"), ("y_n", "y_bits"), percent)
-    )
-    pairs = settle(met.select(
-        F.least("x_c", "y_c").alias("a"), F.greatest("x_c", "y_c").alias("b"), (differing("x_bits", "y_bits") / (F.col("x_n") + F.col("y_n"))).alias("gap")
-    ).distinct())
+    rows = held.join(mixed.select("token", "main"), "token")
+    # A class's first tokens of such groups tell where it meets another.
+    listed = rows.groupBy("c").agg(F.slice(F.sort_array(F.collect_list(F.struct("at", "token")))["token"], 1, LISTED).alias("tokens"))
+    rows = settle(rows.join(listed, "c").join(signatures.select("c", "bits"), "c"))
+    pairs = settle(meetings(rows, percent).distinct())
     # Each class with the one nearest to it by bitmap comes first, which joins most of what belongs together; then all pairs
     # that still lie in two components.
     nearest = pairs.groupBy("a").agg(F.min_by("b", F.struct("gap", "b")).alias("b")).unionByName(

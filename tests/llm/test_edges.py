@@ -206,6 +206,20 @@ def test_components(spark, docs):
     assert jaccard_join.link_documents(docs.limit(0)).count() == 0
 
 
+def test_classes_of_two_components_meet_once(spark):
+    """Three classes have two tokens in common; none of the first two is in the largest component of either group."""
+    bits = [0] * jaccard_join.BITMAP
+    rows = [
+        (token, bytes([c]), 100, at, bytes([c]), b"\x09", [7, 8] if c < 3 else [at and 8 or 7], bits)
+        for at, token in enumerate((7, 8)) for c in (1, 2, 9)
+    ]
+    schema = "token bigint, c binary, n int, at int, root binary, main binary, tokens array<bigint>, bits array<bigint>"
+    met = jaccard_join.meetings(spark.createDataFrame(rows, schema), 85).collect()
+    # The last class lists other tokens in either group, so its pairs come twice there, which is allowed, but no other does.
+    assert sorted((r["a"][0], r["b"][0]) for r in met if r["b"][0] == 2) == [(1, 2)]
+    assert {(r["a"][0], r["b"][0]) for r in met} == {(1, 2), (1, 9), (2, 9)}
+
+
 def test_components_of_edited_copies(spark):
     draw = random.Random(6)
     rows = []
