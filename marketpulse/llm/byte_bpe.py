@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
 A text is cut into pieces by the tokenizer's pattern. A piece is an array of bytes, and a fold over that array merges,
-step by step, the neighbouring pair with the lowest rank until no pair has one. Ranks come from a literal map. Spark
-searches a map from its first entry on, so the literal is an array of small maps and a piece's hash says which of them
-to ask. Bytes are written as two hex digits each, since Spark's arrays of binary cannot be joined.
+step by step, the neighbouring pair with the lowest rank until no pair has one. Ranks come from a map. Spark searches a
+map from its first entry on, so there is an array of small maps and a piece's hash says which of them to ask. Bytes are
+written as two hex digits each, since Spark's arrays of binary cannot be joined.
 
 The folds run over distinct words: the corpus is counted once, the words that recur most are folded once each and
 looked up from then on, and other words are folded where they stand, so no word occurrence is ever shuffled. How many
@@ -26,7 +26,7 @@ import base64
 import json
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketpulse.llm.common import bind, settle
 
@@ -52,15 +52,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in (line.split() for line in lines if line.strip())}
 
 
-def literal_maps(entries: dict[str, int]) -> tuple[Column, int]:
-    """(array of small maps, their number) as one literal: JSON that the optimizer reads once, before tasks start."""
+def small_maps(spark: SparkSession, entries: dict[str, int]) -> tuple[Column, int]:
+    """(array of small maps, their number): the one value of a stored row, as a subquery.
+
+    As a literal it would stand in every description of a plan, some megabytes each time, and fill the driver's memory.
+    """
     from zlib import crc32
 
     slots = max(1, len(entries) // ENTRIES_PER_MAP)
     maps: list[dict] = [{} for _ in range(slots)]
     for key, value in entries.items():
         maps[crc32(key.encode()) % slots][key] = value
-    return F.from_json(F.lit(json.dumps(maps, ensure_ascii=False)), "array<map<string,int>>"), slots
+    stored = spark.createDataFrame([(json.dumps(maps, ensure_ascii=False),)], "maps string")
+    return settle(stored.select(F.from_json("maps", "array<map<string,int>>").alias("maps"))).scalar(), slots
 
 
 def look_up(maps: Column, slots: int, key: Column) -> Column:
@@ -194,20 +198,23 @@ def known_words(words: DataFrame, slots: int) -> DataFrame:
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", bound: int = FREQUENT_WORDS) -> DataFrame:
     """`docs` with ids (decimals joined by blanks; empty for null and empty texts)."""
-    ranks, rank_slots = literal_maps({piece.hex().upper(): rank for piece, rank in read_ranks(ranks_path).items()})
+    held, rank_slots = small_maps(docs.sparkSession, {piece.hex().upper(): rank for piece, rank in read_ranks(ranks_path).items()})
     frequent, taken = frequent_words(docs, pattern, text, bound)
-    folded = settle(frequent.select("word", bind(ranks, lambda r: encode_word(F.col("word"), r, rank_slots)).alias("ids")))
+    # A subquery has a name of its own for the analyzer alone, which wants none inside a fold; the optimizer puts it there,
+    # so no row holds it.
+    folded = settle(frequent.select("word", held.alias("_ranks")).select(
+        "word", bind(F.col("_ranks"), lambda r: encode_word(F.col("word"), r, rank_slots)).alias("ids")
+    ))
     slots = max(1, taken // WORDS_PER_SLOT)
     known = known_words(folded, slots).scalar()
 
     def ids_of(k: Column, r: Column) -> Column:
         return F.transform(pieces_of(text, pattern), lambda word: F.coalesce(F.get(k, slot_of(word, slots))[word], encode_word(word, r, rank_slots)))
 
-    # Both tables are bound once: named where they are used, each use would carry a copy into every task. The subquery has a
-    # name of its own for the analyzer alone, which wants none inside a fold; the optimizer puts it there, so no row holds it.
-    ids = bind(F.col("_known"), lambda k: bind(ranks, lambda r: ids_of(k, r)))
+    # Both tables are bound once: named where they are used, each use would carry a copy into every task.
+    ids = bind(F.col("_known"), lambda k: bind(F.col("_ranks"), lambda r: ids_of(k, r)))
     kept = [F.col(c) for c in docs.columns if c != "ids"]
-    return docs.select("*", known.alias("_known")).select(*kept, F.array_join(ids, " ").alias("ids"))
+    return docs.select("*", known.alias("_known"), held.alias("_ranks")).select(*kept, F.array_join(ids, " ").alias("ids"))
 
 
 def decode(ids: Column, ranks_path: str) -> Column:

@@ -168,6 +168,8 @@ def test_bpe_of_odd_characters(spark):
         assert r["ids"] == " ".join(map(str, library.encode_ordinary(text)))
         assert bytes(r["bytes"]) == text.encode()
     assert byte_bpe.encode(frame.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+    # The ranks are no part of the plan: each of its descriptions would hold them.
+    assert len(encoded._jdf.queryExecution().toString()) < 500_000
 
 
 def test_quality_votes(spark, docs):
