@@ -46,8 +46,9 @@ CELLS, BLOCKS = 1 << 24, 256
 # of the rounds; the share of the links so far that a round must find for another one; and first tokens of a class that are
 # carried along to tell where two classes meet. Any numbers give the same components.
 BITMAP, KEYS, WORTH, LISTED = 8, 2, 0.1, 16
-# Bytes of text that a task hashes at once, and the base of the polynomial: any odd number without a pattern.
-BUFFER_BYTES, BASE = 4 << 20, 0x9E3779B97F4A7C15
+# Bytes of text that a task hashes at once, which takes forty times as much memory, and the base of the polynomial: any odd
+# number without a pattern.
+BUFFER_BYTES, BASE = 1 << 20, 0x9E3779B97F4A7C15
 
 
 def mixer() -> Callable:
@@ -94,13 +95,15 @@ def shingler(n: int) -> Callable[[Any], Iterator]:
             token = mix(token ^ h[j : j + len(token)], j + 1)
         return token
 
+    def powers_of(base: int, most: int):
+        every = np.full(most + 1, np.uint64(base))
+        every[0] = 1
+        return np.cumprod(every, out=every)
+
     def of_buffer(data, bounds) -> Iterator:
         nonlocal powers, inverses
         if len(powers) <= len(data):
-            powers = np.concatenate([np.ones(1, dtype=np.uint64), np.cumprod(np.full(len(data) + 1, np.uint64(BASE)))])
-            inverses = np.concatenate(
-                [np.ones(1, dtype=np.uint64), np.cumprod(np.full(len(data) + 1, np.uint64(pow(BASE, -1, 1 << 64))))]
-            )
+            powers, inverses = powers_of(BASE, len(data) + 1), powers_of(pow(BASE, -1, 1 << 64), len(data) + 1)
         inside = ~blank[data]
         # A text's first byte begins a word, and its last one ends it, whatever stands beside it in the buffer.
         edge = np.zeros(len(data) + 1, dtype=bool)
@@ -109,7 +112,9 @@ def shingler(n: int) -> Callable[[Any], Iterator]:
         starts = np.flatnonzero(inside & (~left | edge[:-1]))
         right = np.concatenate([inside[1:], [False]]) if len(data) else inside
         ends = np.flatnonzero(inside & (~right | edge[1:])) + 1
-        sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values[data] * powers[: len(data)], dtype=np.uint64)])
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.multiply(values[data], powers[: len(data)], out=sums[1:])
+        np.cumsum(sums[1:], out=sums[1:])
         h = mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64), 99)
         every = tokens_of(h) if len(h) >= n else h[:0]
         of_text = np.searchsorted(starts, bounds)

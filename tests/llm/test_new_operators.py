@@ -296,3 +296,26 @@ def test_bits_that_go_together_share_a_part(spark):
     for f in fps:
         counts[f & 0xF] += 1
     assert abs(equal[0] / len(fps) - 1) < 0.2 and abs(equal[1] / sum(n * n for n in counts.values()) - 1) < 0.5
+
+
+def test_hashing_memory_is_bounded():
+    # However much text comes in a batch, hashing keeps to a few dozen times the buffer, and the buffer changes no token.
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from marketpulse.llm import jaccard_join
+
+    draw = random.Random(5)
+    texts = [" ".join(f"w{draw.randrange(9000)}" for _ in range(draw.randrange(2000))) for _ in range(1200)] + [None, "", " \t", "A a B"]
+    column = pa.array(texts)
+    alone = [tokens.tobytes() for text in texts[:20] + texts[-4:] for tokens in jaccard_join.shingler(4)(pa.array([text], pa.string()))]
+    tracemalloc.start()
+    try:
+        tokens = [t.tobytes() if k < 20 or k >= len(texts) - 4 else None for k, t in enumerate(jaccard_join.shingler(4)(column))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(len(t or "") for t in texts) > 5_000_000
+    assert [t for t in tokens if t is not None] == alone
+    assert peak < 64 << 20
