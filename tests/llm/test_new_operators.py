@@ -319,3 +319,26 @@ def test_hashing_memory_is_bounded():
     assert sum(len(t or "") for t in texts) > 5_000_000
     assert [t for t in tokens if t is not None] == alone
     assert peak < 64 << 20
+
+
+def test_pipeline_looks_up_a_bounded_table(spark, monkeypatch):
+    # The table of looked-up words passes the driver: the pipeline's is the smaller one, and ids do not depend on it.
+    import public_tokenizers
+
+    import corpus_pipeline
+    from marketpulse.llm import byte_bpe
+    from marketpulse.llm.queries import bpe_digest
+
+    draw = random.Random(6)
+    words = [f"{draw.choice('abcdefgh')}{k}xyz" for k in range(120)]
+    rows = [(k, " ".join(draw.choice(words) for _ in range(40))) for k in range(30)] + [(30, None), (31, ""), (31, ""), (None, words[0])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    taken = []
+    find = byte_bpe.frequent_words
+    monkeypatch.setattr(byte_bpe, "frequent_words", lambda *a, **b: (found := find(*a, **b), taken.append(found[1]))[0])
+    assert 4 * corpus_pipeline.LOOKED_UP_WORDS <= byte_bpe.FREQUENT_WORDS
+    monkeypatch.setattr(corpus_pipeline, "LOOKED_UP_WORDS", 50)
+    bounded = sorted(map(str, corpus_pipeline.encoded(spark, docs, SF_DIR).collect()))
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    whole = sorted(map(str, bpe_digest(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks).collect()))
+    assert bounded == whole and taken[0] <= 50 < taken[1]
